@@ -1,0 +1,54 @@
+"""Session settings that follow from the size of the input."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+MIB = 1024 * 1024
+
+# Plans read a few narrow columns, so a shuffle carries far less than the input holds: one
+# partition per 256 MiB of input stays well under an executor's share even uncompressed,
+# and adaptive execution merges what turns out small.
+INPUT_PER_SHUFFLE_PARTITION = 256 * MIB
+MOST_SHUFFLE_PARTITIONS = 100_000
+# At 100 TB the default split of 128 MiB would mean 800,000 scan tasks of a few pruned
+# columns each; splits grow with the input up to this size.
+LARGEST_SPLIT = 1024 * MIB
+SCAN_TASKS_WANTED = 100_000
+
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes below a path, from file system metadata."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return file_system.getContentSummary(jvm_path).getLength()
+
+
+def partitions_for(total_bytes: int) -> int:
+    """Shuffle partitions an input of this size calls for."""
+    return min(MOST_SHUFFLE_PARTITIONS, -(-total_bytes // INPUT_PER_SHUFFLE_PARTITION))
+
+
+def split_for(total_bytes: int) -> int:
+    """Scan split size that keeps the number of scan tasks in bounds."""
+    return max(128 * MIB, min(LARGEST_SPLIT, total_bytes // SCAN_TASKS_WANTED))
+
+
+def size_for_input(spark: SparkSession, path: str) -> None:
+    """Raise partition count and split size where the input outgrows the session's values.
+
+    Values are only ever raised, and a count the user set for adaptive execution is kept.
+    """
+    total = input_bytes(spark, path)
+    wanted = partitions_for(total)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        if spark.conf.get(INITIAL_PARTITIONS, None) is None:
+            spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    current = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get(SPLIT_BYTES)
+    )
+    if split_for(total) > current:
+        spark.conf.set(SPLIT_BYTES, str(split_for(total)))
