@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from basketry.plans.quality import MALFORMED, key_audit
+from basketry.operators.audit import MALFORMED, key_audit
 from basketry.sources.model import MODEL, MOMENT, TEXT, WHOLE, TableSpec, Tables
 from basketry.sources.sizing import size_for_input
 
