@@ -17,6 +17,8 @@ observations avoid that:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 TOP_SCORE = 5
@@ -69,11 +71,11 @@ def average_ranks(values: DataFrame) -> DataFrame:
     )
 
 
-def score_cuts(values: DataFrame) -> DataFrame:
-    """The lowest value of each score from 2 to 5, as one row of `cuts` per metric.
+def score_cuts(values: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """The lowest value of each score from 2 to 5, as one row with one struct per metric.
 
-    `values` holds (metric, value, weight); a row of weight zero takes no rank. A cut is
-    null where no value reaches the score.
+    `values` holds (metric, value, weight); a row of weight zero takes no rank. A struct
+    holds the array `cuts`, null where no value reaches the score, and the `lowest` value.
     """
     buckets = _buckets(values).select(
         "*",
@@ -83,11 +85,13 @@ def score_cuts(values: DataFrame) -> DataFrame:
     steps_inside = F.col("score") > rank_score(F.col("before"), F.col("rows"))
     flat = buckets.where(~steps_inside).select("metric", F.col("lowest").alias("value"), "score")
 
-    # At most four buckets per metric, because a score rises at most four times.
-    stepped = buckets.where(steps_inside).select("metric", "bucket", "before", "rows")
+    # At most four buckets per metric, because a score rises at most four times. `lowest`
+    # changes nothing in the join, but asking for it lets both uses share one exchange.
+    stepped = buckets.where(steps_inside).select("metric", "bucket", "lowest", "before", "rows")
     inside = (
         values.withColumn("bucket", bucket_of(F.col("value")))
         .join(F.broadcast(stepped), ["metric", "bucket"])
+        .where(F.col("value") >= F.col("lowest"))
         .groupBy("metric", "bucket", "value", "before", "rows")
         .agg(F.sum("weight").alias("peers"))
     )
@@ -97,19 +101,23 @@ def score_cuts(values: DataFrame) -> DataFrame:
         "value",
         rank_score(_mean_rank(F.col("upto"), F.col("peers")), F.col("rows")).alias("score"),
     )
-    reached = [
-        F.min(F.when(F.col("score") >= score, F.col("value")))
-        for score in range(2, TOP_SCORE + 1)
-    ]
-    return flat.unionByName(exact).groupBy("metric").agg(
-        F.array(*reached).alias("cuts"), F.min("value").alias("lowest")
-    )
+
+    def found(metric: str) -> Column:
+        cuts = [
+            f"min(value) FILTER (WHERE metric = '{metric}' AND score >= {score})"
+            for score in range(2, TOP_SCORE + 1)
+        ]
+        lowest = f"min(value) FILTER (WHERE metric = '{metric}')"
+        return F.expr(
+            f"named_struct('cuts', array({', '.join(cuts)}), 'lowest', {lowest})"
+        ).alias(metric)
+
+    return flat.unionByName(exact).agg(*[found(metric) for metric in metrics])
 
 
-def score_from_cuts(value: Column, cuts: Column) -> Column:
-    """Score of a value given the array of its metric's cuts."""
+def score_from_cuts(value: str, cuts: str) -> Column:
+    """Score of a value expression given the array of its metric's cuts."""
     steps = [
-        F.when(value >= F.get(cuts, position), 1).otherwise(0)
-        for position in range(TOP_SCORE - 1)
+        f"if({value} >= {cuts}[{position}], 1, 0)" for position in range(TOP_SCORE - 1)
     ]
-    return sum(steps, F.lit(1))
+    return F.expr(" + ".join(["1", *steps]))

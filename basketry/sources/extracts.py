@@ -182,7 +182,7 @@ def read_extracts(spark: SparkSession, data_dir: str) -> Tables:
     }
     for name, df in raw.items():
         _check_columns(name, df)
-    return Tables(**{name: typed(df, MODEL[name]) for name, df in raw.items()})
+    return Tables.of(**{name: typed(df, MODEL[name]) for name, df in raw.items()})
 
 
 def load_tables(spark: SparkSession, data_dir: str, tables_dir: str) -> dict[str, int]:
@@ -204,4 +204,9 @@ def load_tables(spark: SparkSession, data_dir: str, tables_dir: str) -> dict[str
 def stored_tables(spark: SparkSession, tables_dir: str) -> Tables:
     """The tables written by :func:`load_tables`."""
     size_for_input(spark, tables_dir)
-    return Tables(**{name: spark.read.parquet(f"{tables_dir}/{name}") for name in MODEL})
+    return Tables(
+        {
+            name: lambda name=name: spark.read.parquet(f"{tables_dir}/{name}")
+            for name in MODEL
+        }
+    )

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass, field, replace
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
@@ -128,26 +128,46 @@ MODEL: dict[str, TableSpec] = {
 }
 
 
-@dataclass(frozen=True)
 class Tables:
-    """The seven relations. Money columns may be decimal or double, moments are zone-free.
+    """The seven relations as attributes, each opened when a plan first asks for it.
 
-    `stored` holds derived relations that were written out and read back; plans use them in
-    place of their own derivation.
+    Opening lists files, which a plan should not pay for a table it does not read. Money
+    columns may be decimal or double; moments carry no time zone. `stored` holds derived
+    relations that were written out and read back, for plans to use in place of their own
+    derivation.
     """
 
-    customers: DataFrame
-    orders: DataFrame
-    order_items: DataFrame
-    order_payments: DataFrame
-    order_reviews: DataFrame
-    products: DataFrame
-    category_translation: DataFrame
-    stored: Mapping[str, DataFrame] = field(default_factory=dict)
+    def __init__(
+        self,
+        openers: Mapping[str, Callable[[], DataFrame]],
+        stored: Mapping[str, DataFrame] | None = None,
+    ) -> None:
+        if set(openers) != set(MODEL):
+            raise ValueError(f"Expected the relations {', '.join(MODEL)}")
+        self._openers = dict(openers)
+        self._opened: dict[str, DataFrame] = {}
+        self.stored = dict(stored or {})
+
+    @classmethod
+    def of(cls, **frames: DataFrame) -> Tables:
+        """Tables from frames that are open already."""
+        return cls({name: lambda df=df: df for name, df in frames.items()})
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._openers:
+            raise AttributeError(name)
+        if name not in self._opened:
+            self._opened[name] = self._openers[name]()
+        return self._opened[name]
 
     def items(self) -> list[tuple[str, DataFrame]]:
         """The seven relations by name."""
         return [(name, getattr(self, name)) for name in MODEL]
 
+    def replaced(self, **frames: DataFrame) -> Tables:
+        """The same tables with some of them exchanged."""
+        openers = {name: lambda df=df: df for name, df in frames.items()}
+        return Tables({**self._openers, **openers}, self.stored)
+
     def with_stored(self, name: str, df: DataFrame) -> Tables:
-        return replace(self, stored={**self.stored, name: df})
+        return Tables(self._openers, {**self.stored, name: df})
