@@ -103,6 +103,8 @@ def read_text_columns(spark: SparkSession, path: str, multi_line: bool) -> DataF
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("columnNameOfCorruptRecord", _BROKEN_LINE)
+        # Pruned columns would hide that a line does not fit the header.
+        .option("columnPruning", False)
     )
     names = reader.csv(path).columns
     schema = StructType([StructField(name, StringType()) for name in (*names, _BROKEN_LINE)])
