@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from basketry.sources.extracts import read_extracts  # noqa: E402
+from basketry.sources.extracts import load_tables, stored_tables  # noqa: E402
 from basketry.sources.model import MODEL  # noqa: E402
 
 EXTRACTS = {
@@ -71,9 +71,11 @@ def spark(tmp_path_factory):
         .appName("basketry-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.warehouse.dir", str(warehouse))
         .config("spark.driver.memory", "4g")
+        # Compiling each plan costs more than running it on a handful of rows.
+        .config("spark.sql.codegen.wholeStage", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -112,9 +114,13 @@ def extracts(tmp_path) -> Extracts:
     return Extracts(directory)
 
 
-@pytest.fixture
-def tables(spark, extracts):
-    return read_extracts(spark, str(extracts))
+@pytest.fixture(scope="session")
+def tables(spark, tmp_path_factory):
+    """The unedited extracts, loaded once."""
+    directory = tmp_path_factory.mktemp("extracts")
+    stored = str(tmp_path_factory.mktemp("tables"))
+    load_tables(spark, str(Extracts(directory)), stored)
+    return stored_tables(spark, stored)
 
 
 @pytest.fixture
