@@ -1,0 +1,31 @@
+"""Cutting a plan at a result that is small but expensive to derive."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
+
+def _has_checkpoint_dir(spark: SparkSession) -> bool:
+    """Whether checkpoints have a folder that outlives an executor.
+
+    The cluster names a shared one in its configuration. Only a local session, where
+    driver and executors are one process, gets a folder of its own.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is not None:
+        return True
+    configured = spark.conf.get(CHECKPOINT_DIR, None)
+    if configured is None and context.master.startswith("local"):
+        configured = tempfile.mkdtemp(prefix="basketry-checkpoint-")
+    if configured is not None:
+        context.setCheckpointDir(configured)
+    return configured is not None
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The result checkpointed, for plans that read it twice; unchanged without a folder."""
+    return df.checkpoint() if _has_checkpoint_dir(df.sparkSession) else df

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from basketry.functions.calendar import half_even, month_number, month_text
 from basketry.operators.cleaning import PURCHASED, clean_deliveries
+from basketry.operators.lineage import settled
 from basketry.sources.model import Tables
 
 # Smallest cohort whose month-one rate is representative in the summary.
@@ -109,10 +110,19 @@ def cohort_retention(t: Tables) -> DataFrame:
     ).orderBy("cohort_month", "cohort_index")
 
 
-def calculate_cohort_retention(t: Tables) -> DataFrame:
-    """Retention, refusing an input without a clean delivery."""
-    if purchase_months(t).where(F.col("customer_unique_id").isNotNull()).isEmpty():
+def _require_rows(orders: DataFrame) -> None:
+    if orders.isEmpty():
         raise ValueError("No delivered orders are available for cohort analysis")
+
+
+def require_deliveries(t: Tables) -> None:
+    """Refuse an input without a clean delivery; reads no further than the first one."""
+    _require_rows(clean_deliveries(t))
+
+
+def calculate_cohort_retention(t: Tables) -> DataFrame:
+    """Retention, refusing an input without a clean delivery of a known person."""
+    _require_rows(purchase_months(t).where(F.col("customer_unique_id").isNotNull()))
     return cohort_retention(t)
 
 
@@ -125,9 +135,11 @@ def observed_indexes(retention: DataFrame) -> list[int]:
 def cohort_matrix(retention: DataFrame, indexes: Sequence[int] | None = None) -> DataFrame:
     """Cohorts by month distance; null where no activity was observed.
 
-    Naming the indexes saves the job that looks them up.
+    The columns are values of the data, so the retention is read once to find them and once
+    to pivot; naming the indexes saves the former.
     """
     if indexes is None:
+        retention = settled(retention)
         indexes = observed_indexes(retention)
     return (
         retention.groupBy("cohort_month")

@@ -180,6 +180,12 @@ def revenue_reconciliation(t: Tables) -> DataFrame:
     )
 
 
+RECONCILIATION_SCHEMA = (
+    "paid_delivered_orders bigint, payment_revenue double, item_revenue double, "
+    "payment_item_variance double, untranslated_item_rows bigint"
+)
+
+
 def calculate_revenue_reconciliation(t: Tables) -> dict[str, float | int]:
     """The reconciliation as a dictionary; refuses an input without a paid delivery."""
     totals = revenue_reconciliation(t).first()

@@ -7,6 +7,7 @@ matched by name, then converted without raising: a value that cannot be read is
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -175,11 +176,21 @@ def _check_audit(audit) -> None:
         )
 
 
-def read_extracts(spark: SparkSession, data_dir: str) -> Tables:
-    """The extracts as typed tables, after the checks that need no data scan."""
+def read_extracts(
+    spark: SparkSession, data_dir: str, multi_line: Collection[str] | None = None
+) -> Tables:
+    """The extracts as typed tables, after the checks on files and columns.
+
+    `multi_line` names the tables whose records may span lines; by default each extract is
+    looked at.
+    """
     lines = _present_lines(spark, data_dir)
+
+    def spans(name: str) -> bool:
+        return spans_lines(lines[name]) if multi_line is None else name in multi_line
+
     raw = {
-        name: read_text_columns(spark, _path(data_dir, spec), spans_lines(lines[name]))
+        name: read_text_columns(spark, _path(data_dir, spec), spans(name))
         for name, spec in MODEL.items()
     }
     for name, df in raw.items():
@@ -187,14 +198,19 @@ def read_extracts(spark: SparkSession, data_dir: str) -> Tables:
     return Tables.of(**{name: typed(df, MODEL[name]) for name, df in raw.items()})
 
 
-def load_tables(spark: SparkSession, data_dir: str, tables_dir: str) -> dict[str, int]:
+def load_tables(
+    spark: SparkSession,
+    data_dir: str,
+    tables_dir: str,
+    multi_line: Collection[str] | None = None,
+) -> dict[str, int]:
     """Check all extracts, then replace the stored tables. Returns the row counts.
 
     Nothing is written unless every check of every table has passed. The audit brings one
     row per table to the driver.
     """
     size_for_input(spark, data_dir)
-    tables = read_extracts(spark, data_dir)
+    tables = read_extracts(spark, data_dir, multi_line)
     audits = {audit.table_name: audit for audit in key_audit(tables).collect()}
     for name in MODEL:
         _check_audit(audits[name])
