@@ -6,11 +6,12 @@ from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
 
-# Plans read a few narrow columns, so a shuffle carries far less than the input holds: one
-# partition per 256 MiB of input stays well under an executor's share even uncompressed,
-# and adaptive execution merges what turns out small.
-INPUT_PER_SHUFFLE_PARTITION = 256 * MIB
-MOST_SHUFFLE_PARTITIONS = 100_000
+# Plans read a few narrow columns, so a shuffle carries a fraction of the input: a partition
+# per 512 MiB of input stays well inside a task's memory, and adaptive execution merges what
+# turns out small. The driver keeps a bitmap of all partitions per map task, hence the limit;
+# at 100 TB it leaves some hundred megabytes of shuffle data to a partition.
+INPUT_PER_SHUFFLE_PARTITION = 512 * MIB
+MOST_SHUFFLE_PARTITIONS = 40_000
 # At 100 TB the default split of 128 MiB would mean 800,000 scan tasks of a few pruned
 # columns each; splits grow with the input up to this size.
 LARGEST_SPLIT = 1024 * MIB
@@ -37,18 +38,30 @@ def split_for(total_bytes: int) -> int:
     return max(128 * MIB, min(LARGEST_SPLIT, total_bytes // SCAN_TASKS_WANTED))
 
 
+# Paths already measured, by application: listing a large folder again tells nothing new.
+_sized: set[tuple[str, str]] = set()
+
+
 def size_for_input(spark: SparkSession, path: str) -> None:
     """Raise partition count and split size where the input outgrows the session's values.
 
     Values are only ever raised, and a count the user set for adaptive execution is kept.
     """
-    total = input_bytes(spark, path)
-    wanted = partitions_for(total)
+    visit = (spark.sparkContext.applicationId, path)
+    if visit not in _sized:
+        apply_sizes(spark, input_bytes(spark, path))
+        _sized.add(visit)
+
+
+def apply_sizes(spark: SparkSession, total_bytes: int) -> None:
+    """Set what an input of this size calls for."""
+    wanted = partitions_for(total_bytes)
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         if spark.conf.get(INITIAL_PARTITIONS, None) is None:
             spark.conf.set(INITIAL_PARTITIONS, str(wanted))
-    current = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+    jvm = spark.sparkContext._jvm
+    current = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
         spark.conf.get(SPLIT_BYTES)
     )
-    if split_for(total) > current:
-        spark.conf.set(SPLIT_BYTES, str(split_for(total)))
+    if split_for(total_bytes) > current:
+        spark.conf.set(SPLIT_BYTES, str(split_for(total_bytes)))

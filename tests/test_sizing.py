@@ -1,0 +1,46 @@
+from __future__ import annotations
+
+import pytest
+
+from basketry.sources import sizing
+
+GIB = 1024 * sizing.MIB
+TIB = 1024 * GIB
+
+
+@pytest.mark.parametrize(
+    ("total", "partitions", "split"),
+    [
+        (0, 0, 128 * sizing.MIB),
+        (GIB, 2, 128 * sizing.MIB),
+        (TIB, 2048, 128 * sizing.MIB),
+        (100 * TIB, 40_000, GIB),
+    ],
+)
+def test_sizes_grow_with_the_input(total, partitions, split):
+    assert sizing.partitions_for(total) == partitions
+    assert sizing.split_for(total) == split
+
+
+def test_settings_are_raised_only(spark):
+    session = spark.newSession()
+    sizing.apply_sizes(session, 10 * sizing.MIB)
+    assert session.conf.get(sizing.INITIAL_PARTITIONS, None) is None
+    sizing.apply_sizes(session, 100 * TIB)
+    assert session.conf.get(sizing.INITIAL_PARTITIONS) == "40000"
+    assert session.conf.get(sizing.SPLIT_BYTES) == str(GIB)
+    sizing.apply_sizes(session, 20 * TIB)
+    assert session.conf.get(sizing.SPLIT_BYTES) == str(GIB)
+
+
+def test_a_count_set_by_the_user_is_kept(spark):
+    session = spark.newSession()
+    session.conf.set(sizing.INITIAL_PARTITIONS, "500")
+    sizing.apply_sizes(session, 100 * TIB)
+    assert session.conf.get(sizing.INITIAL_PARTITIONS) == "500"
+
+
+def test_input_bytes_counts_files(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"12345")
+    (tmp_path / "b").write_bytes(b"123")
+    assert sizing.input_bytes(spark, str(tmp_path)) == 8
