@@ -179,23 +179,21 @@ def _check_audit(audit) -> None:
 def read_extracts(
     spark: SparkSession, data_dir: str, multi_line: Collection[str] | None = None
 ) -> Tables:
-    """The extracts as typed tables, after the checks on files and columns.
+    """The extracts as typed tables; each checks its columns when it is opened.
 
     `multi_line` names the tables whose records may span lines; by default each extract is
     looked at.
     """
     lines = _present_lines(spark, data_dir)
 
-    def spans(name: str) -> bool:
-        return spans_lines(lines[name]) if multi_line is None else name in multi_line
+    def opened(name: str) -> DataFrame:
+        spec = MODEL[name]
+        spans = spans_lines(lines[name]) if multi_line is None else name in multi_line
+        raw = read_text_columns(spark, _path(data_dir, spec), spans)
+        _check_columns(name, raw)
+        return typed(raw, spec)
 
-    raw = {
-        name: read_text_columns(spark, _path(data_dir, spec), spans(name))
-        for name, spec in MODEL.items()
-    }
-    for name, df in raw.items():
-        _check_columns(name, df)
-    return Tables.of(**{name: typed(df, MODEL[name]) for name, df in raw.items()})
+    return Tables({name: lambda name=name: opened(name) for name in MODEL})
 
 
 def load_tables(
@@ -211,6 +209,7 @@ def load_tables(
     """
     size_for_input(spark, data_dir)
     tables = read_extracts(spark, data_dir, multi_line)
+    # Opens all tables, so that missing columns show before any of them is scanned.
     audits = {audit.table_name: audit for audit in key_audit(tables).collect()}
     for name in MODEL:
         _check_audit(audits[name])
