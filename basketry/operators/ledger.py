@@ -7,24 +7,37 @@ of the union answers all questions about the key.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def key_ledger(key: str, **sources: DataFrame) -> DataFrame:
-    """Rows per key in each source: one output row per key, one count column per source."""
+def key_ledger(
+    key: str,
+    sources: Mapping[str, DataFrame],
+    subsets: Mapping[str, tuple[str, Column]] | None = None,
+) -> DataFrame:
+    """Rows per key in each source: one output row per key, one count column per source.
 
-    def entries(name: str, source: DataFrame) -> DataFrame:
-        marks = [
-            F.lit(1 if name == other else 0).cast("bigint").alias(other) for other in sources
-        ]
-        return source.select(key, *marks)
+    A subset counts the rows of a source that meet a condition, in the same scan.
+    """
+    subsets = subsets or {}
 
+    def mark(name: str, source: str) -> Column:
+        if name in subsets:
+            of, condition = subsets[name]
+            counted = F.when(condition, 1).otherwise(0) if of == source else F.lit(0)
+        else:
+            counted = F.lit(1 if name == source else 0)
+        return counted.cast("bigint").alias(name)
+
+    names = [*sources, *subsets]
     union = reduce(
-        DataFrame.unionByName, [entries(name, source) for name, source in sources.items()]
+        DataFrame.unionByName,
+        [df.select(key, *[mark(name, source) for name in names]) for source, df in sources.items()],
     )
-    return union.groupBy(key).agg(*[F.sum(name).alias(name) for name in sources])
+    return union.groupBy(key).agg(*[F.sum(name).alias(name) for name in names])
 
 
 def unmatched(key: str, rows: str, target: str) -> Column:

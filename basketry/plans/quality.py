@@ -38,11 +38,13 @@ def _order_checks(t: Tables) -> DataFrame:
     key = "order_id"
     ledger = key_ledger(
         key,
-        orders=t.orders,
-        deliveries=t.orders.where(is_clean_delivery()),
-        items=t.order_items,
-        payments=t.order_payments,
-        reviews=t.order_reviews,
+        {
+            "orders": t.orders,
+            "items": t.order_items,
+            "payments": t.order_payments,
+            "reviews": t.order_reviews,
+        },
+        subsets={"deliveries": ("orders", is_clean_delivery())},
     )
     return ledger.agg(
         unmatched(key, "items", "orders").alias("order_items_missing_order"),
@@ -55,14 +57,14 @@ def _order_checks(t: Tables) -> DataFrame:
 
 def _customer_checks(t: Tables) -> DataFrame:
     key = "customer_id"
-    return key_ledger(key, orders=t.orders, customers=t.customers).agg(
+    return key_ledger(key, {"orders": t.orders, "customers": t.customers}).agg(
         unmatched(key, "orders", "customers").alias("orders_missing_customer")
     )
 
 
 def _product_checks(t: Tables) -> DataFrame:
     key = "product_id"
-    return key_ledger(key, items=t.order_items, products=t.products).agg(
+    return key_ledger(key, {"items": t.order_items, "products": t.products}).agg(
         unmatched(key, "items", "products").alias("order_items_missing_product")
     )
 
@@ -70,7 +72,8 @@ def _product_checks(t: Tables) -> DataFrame:
 def _category_checks(t: Tables) -> DataFrame:
     key = "product_category_name"
     named = t.products.where(F.col(key).isNotNull())
-    return key_ledger(key, products=named, translations=t.category_translation).agg(
+    sources = {"products": named, "translations": t.category_translation}
+    return key_ledger(key, sources).agg(
         unmatched(key, "products", "translations").alias(
             "products_without_category_translation"
         )
@@ -186,7 +189,7 @@ def deliveries_without_payment(t: Tables) -> DataFrame:
     """The number of clean deliveries without a payment row."""
     key = "order_id"
     deliveries = t.orders.where(is_clean_delivery())
-    return key_ledger(key, deliveries=deliveries, payments=t.order_payments).agg(
+    return key_ledger(key, {"deliveries": deliveries, "payments": t.order_payments}).agg(
         unmatched(key, "deliveries", "payments").alias("delivered_orders_without_payment")
     )
 
