@@ -22,13 +22,17 @@ def connection():
     return duck(SF_DIR)
 
 
+OWN = {**contract.PLANS, **contract.DEFECT_PLANS}
+
+
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(OWN) <= set(contract.oracle_sql())
 
 
 def test_schemas_agree(spark, connection):
     different = {}
-    for name, query in contract.queries().items():
+    for name in OWN:
+        query = contract.queries()[name]
         expected = {column: TYPES.get(kind, kind) for column, kind in query(spark, SF_DIR).dtypes}
         described = connection.execute(f"DESCRIBE {contract.oracle_sql()[name]}").fetchall()
         found = {row[0]: row[1] for row in described}
