@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
-from basketry.llm import counts, tokens
+from basketry.llm import counts, packing, planes, tokens
 
 
 def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokens.default_path())
+
+
+def op2_bit_plane_ids(spark, sf_dir):
+    folder = planes.new_folder(spark)
+    planes.write_ids(table(spark, sf_dir, "documents"), tokens.default_path(), folder)
+    return planes.read_documents(spark, folder)
+
+
 def op10_token_counts(spark, sf_dir):
     return counts.token_counts(table(spark, sf_dir, "documents"), tokens.default_path())
 
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_bit_plane_ids": op2_bit_plane_ids,
     "op10_token_counts": op10_token_counts,
 }
 
