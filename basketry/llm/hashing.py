@@ -42,23 +42,37 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[starts[0] : starts[-1]], starts - starts[0]
 
 
-def powers(n: int, base: np.uint64 = BASE) -> np.ndarray:
-    """base**0 .. base**(n-1)."""
-    out = np.ones(max(n, 1), np.uint64)
-    done = 1
-    while done < n:
-        step = base if done == 1 else out[done - 1] * base
-        take = min(done, n - done)
-        out[done : done + take] = out[:take] * step
-        done += take
-    return out[:n]
-
-
-def prefix_hashes(data: np.ndarray, values: np.ndarray = VALUES) -> np.ndarray:
-    """out[i]: the polynomial over data[:i]."""
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values[data] * powers(len(data)), out=out[1:])
-    return out
+class Hasher:
+    """Hashes of any stretch of a byte buffer."""
+
+    def __init__(self, values: np.ndarray = VALUES):
+        self.values = values
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def _grow(self, n: int) -> None:
+        while len(self.up) < n:
+            for name, base in (("up", int(BASE)), ("down", int(INVERSE))):
+                done = getattr(self, name)
+                step = np.uint64(pow(base, len(done), 1 << 64))
+                setattr(self, name, np.concatenate([done, done * step]))
+
+    def sums(self, data: np.ndarray) -> np.ndarray:
+        """out[i]: the polynomial over data[:i]."""
+        self._grow(len(data) + 1)
+        out = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.values[data] * self.up[: len(data)], out=out[1:])
+        return out
+
+    def of(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The hash of data[start:end] for each pair."""
+        return mixed((sums[ends] - sums[starts]) * self.down[starts])
+
+    def runs(self, sums: np.ndarray, size: int) -> np.ndarray:
+        """The hash of each run of `size` bytes by its start."""
+        n = len(sums) - size
+        if n <= 0:
+            return np.zeros(0, np.uint64)
+        return mixed((sums[size:] - sums[:-size]) * self.down[:n])
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -79,15 +93,12 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data, starts, ends, values: np.ndarray = VALUES) -> np.ndarray:
+def word_hashes(hasher: Hasher, data, starts, ends) -> np.ndarray:
     """A hash of each word."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    sums = prefix_hashes(data, values)
-    return mixed((sums[ends] - sums[starts]) * powers(len(data), INVERSE)[starts])
+    return hasher.of(hasher.sums(data), starts, ends)
 
 
-def shingle_hashes(hashed: np.ndarray, size: int) -> np.ndarray:
+def shingles(hashed: np.ndarray, size: int) -> np.ndarray:
     """A hash of each run of `size` words by where the run starts; runs over the end are left out."""
     n = len(hashed) - size + 1
     if n <= 0:
@@ -97,3 +108,13 @@ def shingle_hashes(hashed: np.ndarray, size: int) -> np.ndarray:
         out *= FIRST
         out += hashed[k : k + n]
     return mixed(out)
+
+
+def runs_of_texts(column: pa.Array, most_bytes: int = 4_000_000):
+    """(first, last) of runs of texts with about `most_bytes`, so that work arrays stay small."""
+    sizes = np.diff(buffers(column)[1])
+    at = 0
+    while at < len(sizes):
+        end = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), most_bytes)))
+        yield at, min(end, len(sizes))
+        at = end

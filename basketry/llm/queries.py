@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketry.llm import counts, packing, planes, tokens
+from basketry.llm import counts, jaccard, packing, planes, tokens
 
 
 def table(spark, sf_dir: str, name: str):
@@ -19,6 +19,10 @@ def op2_bit_plane_ids(spark, sf_dir):
     return planes.read_documents(spark, folder)
 
 
+def op9_jaccard_components(spark, sf_dir):
+    return jaccard.similar_components(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark, sf_dir):
     return counts.token_counts(table(spark, sf_dir, "documents"), tokens.default_path())
 
@@ -26,6 +30,7 @@ def op10_token_counts(spark, sf_dir):
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_bit_plane_ids": op2_bit_plane_ids,
+    "op9_jaccard_components": op9_jaccard_components,
     "op10_token_counts": op10_token_counts,
 }
 
