@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from basketry.llm import counts, jaccard, packing, planes, tokens
+from pyspark.sql import functions as F
+
+from basketry.llm import counts, jaccard, packing, planes, suffixes, tokens
 
 
 def table(spark, sf_dir: str, name: str):
@@ -19,6 +21,11 @@ def op2_bit_plane_ids(spark, sf_dir):
     return planes.read_documents(spark, folder)
 
 
+def op5_suffix_dedup(spark, sf_dir):
+    kept = suffixes.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op9_jaccard_components(spark, sf_dir):
     return jaccard.similar_components(table(spark, sf_dir, "documents"))
 
@@ -30,6 +37,7 @@ def op10_token_counts(spark, sf_dir):
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_bit_plane_ids": op2_bit_plane_ids,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op9_jaccard_components": op9_jaccard_components,
     "op10_token_counts": op10_token_counts,
 }
