@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from basketry.llm import counts, jaccard, packing, planes, suffixes, tokens
+from basketry.llm import (
+    counts,
+    embeddings,
+    jaccard,
+    packing,
+    planes,
+    quality,
+    suffixes,
+    tokens,
+)
 
 
 def table(spark, sf_dir: str, name: str):
@@ -21,11 +30,19 @@ def op2_bit_plane_ids(spark, sf_dir):
     return planes.read_documents(spark, folder)
 
 
+def op3_embedding_near_dedup(spark, sf_dir):
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_suffix_dedup(spark, sf_dir):
     kept = suffixes.without_repeats(table(spark, sf_dir, "documents"))
     return kept.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
+def op7_quality_rules(spark, sf_dir):
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
 def op9_jaccard_components(spark, sf_dir):
     return jaccard.similar_components(table(spark, sf_dir, "documents"))
 
@@ -37,7 +54,9 @@ def op10_token_counts(spark, sf_dir):
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_bit_plane_ids": op2_bit_plane_ids,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op7_quality_rules": op7_quality_rules,
     "op9_jaccard_components": op9_jaccard_components,
     "op10_token_counts": op10_token_counts,
 }
