@@ -8,6 +8,8 @@ from basketry.llm import (
     counts,
     embeddings,
     jaccard,
+    language,
+    mixing,
     packing,
     planes,
     quality,
@@ -34,11 +36,19 @@ def op3_embedding_near_dedup(spark, sf_dir):
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op4_soft_domain_mixing(spark, sf_dir):
+    return mixing.rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_suffix_dedup(spark, sf_dir):
     kept = suffixes.without_repeats(table(spark, sf_dir, "documents"))
     return kept.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
+def op6_language_filters(spark, sf_dir):
+    return language.predicted(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark, sf_dir):
     return quality.judged(table(spark, sf_dir, "documents"))
 
@@ -55,7 +65,9 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_bit_plane_ids": op2_bit_plane_ids,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op4_soft_domain_mixing": op4_soft_domain_mixing,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_language_filters": op6_language_filters,
     "op7_quality_rules": op7_quality_rules,
     "op9_jaccard_components": op9_jaccard_components,
     "op10_token_counts": op10_token_counts,
