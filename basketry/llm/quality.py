@@ -97,8 +97,12 @@ def _measured(names: list[str]):
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, source) with the counts of each document and base_failed."""
-    names = ["doc_id", "lang", "source"]
+    """(doc_id, lang, source, row) with the counts of each document and base_failed.
+
+    row is the hash of the text.
+    """
+    names = ["doc_id", "lang", "source", "row"]
+    docs = docs.select("doc_id", "lang", "source", "text").withColumn("row", F.xxhash64("text"))
     kinds = [f"{name} {docs.schema[name].dataType.simpleString()}" for name in names]
     schema = ", ".join([*kinds, *(f"{name} long" for name in [*COUNTS, "n_lines"])])
     found = docs.select(*names, "text").mapInArrow(_measured(names), schema)
@@ -159,7 +163,7 @@ def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def judged(docs: DataFrame) -> DataFrame:
-    """The documents' counts (see COUNTS), base_failed, and whether each is kept."""
+    """(doc_id, row) of the documents, their counts (see COUNTS), base_failed, and whether kept."""
     facts = stored(measured(docs), "facts")
     sketch = stored(sketches(facts), "sketches")
     ends = [f"{name}_{end}" for name in RATES for end in ("low", "high")]
@@ -187,4 +191,11 @@ def judged(docs: DataFrame) -> DataFrame:
     for name, (rate, _, _) in RATES.items():
         within = within & (rate >= limits[f"{name}_low"]) & (rate <= limits[f"{name}_high"])
     kept = ~F.col("base_failed") & F.coalesce(within, F.lit(False))
-    return out.select("doc_id", *COUNTS, "base_failed", kept.alias("kept"))
+    return out.select("doc_id", "row", *COUNTS, "base_failed", kept.alias("kept"))
+
+
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """The rows of the documents that are kept."""
+    kept = judged(docs).where("kept").select(F.col("doc_id").alias("kept_id"), "row")
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("row"))
+    return docs.join(kept, same, "left_semi")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from basketry.llm import (
+    chat,
     counts,
     embeddings,
     jaccard,
@@ -50,7 +51,11 @@ def op6_language_filters(spark, sf_dir):
 
 
 def op7_quality_rules(spark, sf_dir):
-    return quality.judged(table(spark, sf_dir, "documents"))
+    return quality.judged(table(spark, sf_dir, "documents")).drop("row")
+
+
+def op8_chat_transcripts(spark, sf_dir):
+    return chat.transcripts(table(spark, sf_dir, "conversations"))
 
 
 def op9_jaccard_components(spark, sf_dir):
@@ -69,6 +74,7 @@ QUERIES = {
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_language_filters": op6_language_filters,
     "op7_quality_rules": op7_quality_rules,
+    "op8_chat_transcripts": op8_chat_transcripts,
     "op9_jaccard_components": op9_jaccard_components,
     "op10_token_counts": op10_token_counts,
 }
