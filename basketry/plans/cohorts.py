@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from basketry.functions.calendar import half_even, month_number, month_text
 from basketry.operators.cleaning import PURCHASED, clean_deliveries
-from basketry.operators.lineage import settled
 from basketry.sources.model import Tables
 
 # Smallest cohort whose month-one rate is representative in the summary.
@@ -132,14 +131,34 @@ def observed_indexes(retention: DataFrame) -> list[int]:
     return [row.cohort_index for row in rows]
 
 
+def cohort_grid(retention: DataFrame) -> DataFrame:
+    """A row for each cohort and each distance that any cohort has; null where it has none.
+
+    The window runs over retention rows, at most one per pair of calendar months.
+    """
+    distances = F.collect_set("cohort_index").over(Window.partitionBy())
+    rates = F.map_from_entries(F.collect_list(F.struct("cohort_index", "retention_rate")))
+    return (
+        retention.withColumn("distances", distances)
+        .groupBy("cohort_month")
+        .agg(F.first("distances").alias("distances"), rates.alias("rates"))
+        .select("cohort_month", "rates", F.explode("distances").alias("cohort_index"))
+        .select(
+            "cohort_month",
+            "cohort_index",
+            F.try_element_at("rates", "cohort_index").alias("retention_rate"),
+        )
+        .orderBy("cohort_month", "cohort_index")
+    )
+
+
 def cohort_matrix(retention: DataFrame, indexes: Sequence[int] | None = None) -> DataFrame:
     """Cohorts by month distance; null where no activity was observed.
 
-    The columns are values of the data, so the retention is read once to find them and once
-    to pivot; naming the indexes saves the former.
+    The columns are values of the data: the retention, best a stored table, is read once to
+    find them and once to pivot; naming the indexes saves the former.
     """
     if indexes is None:
-        retention = settled(retention)
         indexes = observed_indexes(retention)
     return (
         retention.groupBy("cohort_month")

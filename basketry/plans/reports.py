@@ -127,36 +127,23 @@ def _untranslated_products(t: Tables) -> DataFrame:
     )
 
 
-def items_by_order(t: Tables) -> DataFrame:
-    """Item cents and untranslated item rows per order, in one pass over the items."""
-    marked = _untranslated_products(t).select("product_id", F.lit(1).alias("untranslated"))
-    items = t.order_items.select(
-        "order_id", "product_id", item_cents(t.order_items).alias("cents")
-    )
-    return (
-        items.join(marked, "product_id", "left")
-        .groupBy("order_id")
-        .agg(
-            F.sum("cents").alias("item_cents"),
-            F.count("untranslated").alias("untranslated"),
-        )
-    )
-
-
 def _total_or_zero(value: str) -> Column:
     return F.coalesce(F.sum(value), F.lit(0))
 
 
 def untranslated_item_rows(t: Tables) -> DataFrame:
-    """Item rows of clean deliveries that carry no translated category."""
-    marked = _untranslated_products(t).select("product_id")
-    by_order = (
+    """Item rows of clean deliveries that carry no translated category.
+
+    Rows are counted per product before they meet the products.
+    """
+    by_product = (
         t.order_items.select("order_id", "product_id")
-        .join(marked, "product_id")
-        .groupBy("order_id")
+        .join(clean_deliveries(t).select("order_id"), "order_id")
+        .groupBy("product_id")
         .agg(F.count("*").alias("rows"))
     )
-    return by_order.join(clean_deliveries(t).select("order_id"), "order_id").agg(
+    marked = _untranslated_products(t).select("product_id")
+    return by_product.join(marked, "product_id").agg(
         _total_or_zero("rows").alias("untranslated_item_rows")
     )
 
@@ -166,9 +153,13 @@ def revenue_reconciliation(t: Tables) -> DataFrame:
 
     The untranslated count covers every clean delivery with items, paid or not.
     """
-    both = deliveries(t).select("order_id", "paid", "payment_cents").join(
-        items_by_order(t), "order_id"
+    by_order = (
+        t.order_items.select("order_id", item_cents(t.order_items).alias("cents"))
+        .groupBy("order_id")
+        .agg(F.sum("cents").alias("item_cents"))
     )
+    both = deliveries(t).where("paid is not null").select("order_id", "paid", "payment_cents")
+    both = both.join(by_order, "order_id")
     paid_items = F.sum(F.when(F.col("paid"), F.col("item_cents")))
     paid = F.sum("payment_cents")
     return both.agg(
@@ -176,8 +167,7 @@ def revenue_reconciliation(t: Tables) -> DataFrame:
         amount(paid).alias("payment_revenue"),
         amount(paid_items).alias("item_revenue"),
         amount(paid - paid_items).alias("payment_item_variance"),
-        _total_or_zero("untranslated").alias("untranslated_item_rows"),
-    )
+    ).withColumn("untranslated_item_rows", untranslated_item_rows(t).scalar())
 
 
 RECONCILIATION_SCHEMA = (

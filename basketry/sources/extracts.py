@@ -10,13 +10,13 @@ from __future__ import annotations
 from collections.abc import Collection
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from basketry.operators.audit import MALFORMED, key_audit
 from basketry.sources.model import MODEL, MOMENT, TEXT, WHOLE, TableSpec, Tables
-from basketry.sources.sizing import size_for_input
 
 # Texts that stand for a missing value.
 NULL_TOKENS = (
@@ -71,7 +71,7 @@ def _present_lines(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
     missing = sorted(MODEL[name].file_name for name, found in lines.items() if found is None)
     if missing:
         raise FileNotFoundError(
-            f"Missing required CSV file(s) in {data_dir}: {', '.join(missing)}"
+            f"{data_dir} lacks {len(missing)} extract(s): {', '.join(missing)}"
         )
     return lines
 
@@ -106,6 +106,8 @@ def read_text_columns(spark: SparkSession, path: str, multi_line: bool) -> DataF
         .option("columnNameOfCorruptRecord", _BROKEN_LINE)
         # Pruned columns would hide that a line does not fit the header.
         .option("columnPruning", False)
+        # Parts whose header names other columns, or in another order, are refused.
+        .option("enforceSchema", False)
     )
     names = reader.csv(path).columns
     schema = StructType([StructField(name, StringType()) for name in (*names, _BROKEN_LINE)])
@@ -128,8 +130,9 @@ def _converted(name: str, spec: TableSpec) -> Column:
     elif kind == MOMENT:
         value = _iso(F.trim(text)).try_cast(kind)
     elif kind == WHOLE:
-        # Whole numbers may be written as 40.0 where a column has gaps.
-        value = text.try_cast("decimal(20,4)").try_cast(kind)
+        # Whole numbers may be written as 40.0 where a column has gaps; 40.5 is no whole number.
+        number = text.try_cast("decimal(38,10)")
+        value = F.when(number == F.floor(number), number).try_cast(kind)
     else:
         value = text.try_cast(kind)
     return value.alias(name)
@@ -147,7 +150,7 @@ def _check_columns(name: str, raw: DataFrame) -> None:
     missing = sorted(spec.required - set(raw.columns))
     if missing:
         raise ValueError(
-            f"{spec.file_name} is missing required column(s): {', '.join(missing)}"
+            f"no missing required column may be in {spec.file_name}, but: {', '.join(missing)}"
         )
 
 
@@ -156,23 +159,22 @@ def _check_audit(audit) -> None:
     name, spec = audit.table_name, MODEL[audit.table_name]
     if audit.malformed_rows:
         raise ValueError(
-            f"{spec.file_name} has {audit.malformed_rows} row(s) with more fields than its header"
+            f"{audit.malformed_rows} line(s) of {spec.file_name} hold more fields than its header"
         )
     nulls = [found.column_name for found in audit.null_identifiers if found.violations]
     if nulls:
         raise ValueError(
-            f"Found null value(s) in required identifier column(s) for {name}: "
-            f"{', '.join(nulls)}"
+            f"{name}: every required identifier must be given; empty in {', '.join(nulls)}"
         )
     for found in audit.invalid_moments:
         if found.violations:
             raise ValueError(
-                f"Found null or invalid timestamp value(s) in {name}.{found.column_name}"
+                f"{found.violations} missing or invalid timestamp(s) in {name}.{found.column_name}"
             )
     if audit.duplicate_keys:
         raise ValueError(
-            f"Found {audit.duplicate_keys} duplicate key values in {name} "
-            f"for {', '.join(spec.key)}"
+            f"{audit.duplicate_keys} duplicate key values in {name}, whose key is "
+            f"({', '.join(spec.key)})"
         )
 
 
@@ -204,23 +206,32 @@ def load_tables(
 ) -> dict[str, int]:
     """Check all extracts, then replace the stored tables. Returns the row counts.
 
-    Nothing is written unless every check of every table has passed. The audit brings one
-    row per table to the driver.
+    The text is parsed once, into a staging folder beside the tables; the checks read that. No
+    table is replaced unless every check of every table has passed. The audit brings one row
+    per table to the driver.
     """
-    size_for_input(spark, data_dir)
-    tables = read_extracts(spark, data_dir, multi_line)
-    # Opens all tables, so that missing columns show before any of them is scanned.
-    audits = {audit.table_name: audit for audit in key_audit(tables).collect()}
+    staging = f"{tables_dir.rstrip('/')}-staging"
+    # Opens all tables, so that missing columns show before any of them is parsed.
+    for name, df in list(read_extracts(spark, data_dir, multi_line).items()):
+        try:
+            df.write.mode("overwrite").parquet(f"{staging}/{name}")
+        except (PySparkException, Py4JJavaError) as error:
+            if "header" not in str(error).lower():
+                raise
+            raise ValueError(
+                f"{MODEL[name].file_name}: the headers of its parts differ"
+            ) from error
+    staged = stored_tables(spark, staging)
+    audits = {audit.table_name: audit for audit in key_audit(staged).collect()}
     for name in MODEL:
         _check_audit(audits[name])
-    for name, df in tables.items():
+    for name, df in staged.items():
         df.drop(MALFORMED).write.mode("overwrite").parquet(f"{tables_dir}/{name}")
     return {name: audits[name].row_count for name in MODEL}
 
 
 def stored_tables(spark: SparkSession, tables_dir: str) -> Tables:
     """The tables written by :func:`load_tables`."""
-    size_for_input(spark, tables_dir)
     return Tables(
         {
             name: lambda name=name: spark.read.parquet(f"{tables_dir}/{name}")

@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketry.sources.model import Tables
-from basketry.sources.sizing import size_for_input
 
 # The columns in use. A given schema spares a job per table that reads file footers.
 SCHEMAS = {
@@ -29,7 +28,6 @@ Read = Callable[[str], DataFrame]
 
 
 def _reader(spark: SparkSession, sf_dir: str) -> Read:
-    size_for_input(spark, sf_dir)
     return lambda name: spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -47,12 +45,15 @@ def _days_after(start: str, days: Column, hours: Column | None = None) -> Column
     return F.col(start) + F.make_dt_interval(days.cast("int"), hours)
 
 
-def _customers(read: Read, customer_id: Column) -> DataFrame:
+def _customers(read: Read, customer_id: Column, person: Column | None = None) -> DataFrame:
+    person = F.lit(True) if person is None else person
     in_nation = F.col("c_nationkey") == F.col("n_nationkey")
     return read("customer").join(read("nation"), in_nation).select(
         customer_id.alias("customer_id"),
         # Two ids per person, as a person gets a new id with an order.
-        F.concat(F.lit("u"), F.expr("c_custkey div 2")).alias("customer_unique_id"),
+        F.when(person, F.concat(F.lit("u"), F.expr("c_custkey div 2"))).alias(
+            "customer_unique_id"
+        ),
         F.col("n_name").alias("customer_state"),
     )
 
@@ -189,3 +190,29 @@ def open_defective_tables(spark: SparkSession, sf_dir: str) -> Tables:
             "category_translation": lambda: _translation(read),
         }
     )
+
+
+def open_incomplete_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """The consistent relations, but for missing keys, moments and persons, and repeated orders."""
+    read, whole = _reader(spark, sf_dir), open_tables(spark, sf_dir)
+
+    def orders() -> DataFrame:
+        key = F.col("order_id").cast("bigint")
+        # Neighbours share an id, some have none, and some have no time of purchase.
+        renamed = F.when(key % 97 != 0, F.when(key % 10 == 1, key - 1).otherwise(key))
+        purchased = F.when(key % 89 != 0, F.col("order_purchase_timestamp"))
+        return whole.orders.withColumns(
+            {"order_id": renamed.cast("string"), "order_purchase_timestamp": purchased}
+        )
+
+    return whole.replaced(
+        orders=orders(),
+        customers=_customers(read, _key("c_custkey"), F.col("c_custkey") % 7 != 0),
+    )
+
+
+def open_anonymous_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """The consistent relations with customers whose person is not known."""
+    read = _reader(spark, sf_dir)
+    customers = _customers(read, _key("c_custkey"), F.col("c_custkey") % 7 != 0)
+    return open_tables(spark, sf_dir).replaced(customers=customers)

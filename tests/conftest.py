@@ -13,6 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from basketry.sources.extracts import load_tables, stored_tables  # noqa: E402
 from basketry.sources.model import MODEL  # noqa: E402
 
+# The rows of the published fixture, whose results are known (see FIXTURES.md).
 EXTRACTS = {
     "customers": """\
 customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state

@@ -50,7 +50,7 @@ def test_missing_key_column(spark, extracts, tmp_path):
 
 def test_null_identifier(spark, extracts, tmp_path):
     extracts.replace("orders", "o1,c1", "NA,c1")
-    refused(spark, extracts, tmp_path, ValueError, "required identifier.*orders: order_id")
+    refused(spark, extracts, tmp_path, ValueError, "orders: every required identifier.*order_id")
 
 
 def test_null_tokens_are_null_everywhere(spark, extracts, rows):
@@ -71,7 +71,7 @@ def test_invalid_purchase_timestamp(spark, extracts, tmp_path, text):
         extracts,
         tmp_path,
         ValueError,
-        "invalid timestamp.*orders.order_purchase_timestamp",
+        r"invalid timestamp\(s\) in orders.order_purchase_timestamp",
     )
 
 
@@ -148,6 +148,25 @@ def test_extract_as_directory_of_parts(spark, extracts, tmp_path):
     assert load(spark, extracts, tmp_path)["customers"] == 3
 
 
+def test_parts_with_other_headers_are_refused(spark, extracts, tmp_path):
+    path = extracts.path("order_items")
+    header, first, *rest = path.read_text().splitlines()
+    swapped = header.replace("price,freight_value", "freight_value,price")
+    assert swapped != header
+    path.unlink()
+    path.mkdir()
+    (path / "part-0.csv").write_text("\n".join([header, *rest]) + "\n")
+    (path / "part-1.csv").write_text(f"{swapped}\n{first}\n")
+    refused(spark, extracts, tmp_path, ValueError, "headers of its parts differ")
+
+
+def test_fractions_are_no_whole_numbers(spark, extracts, rows):
+    extracts.replace("order_reviews", "r1,o1,5", "r1,o1,1.9")
+    extracts.replace("order_reviews", "r2,o2,3", "r2,o2,3.0")
+    reviews = read_extracts(spark, str(extracts)).order_reviews.orderBy("review_id")
+    assert rows(reviews.select("review_score")) == [(None,), (3,)]
+
+
 def test_dates_in_other_shapes(spark, extracts, rows):
     extracts.replace("orders", "delivered,2021-01-15 10:00:00", "delivered,01/15/2021 10:00")
     extracts.replace("orders", "canceled,2021-03-01 10:00:00", "canceled,2021/03/01T10:00:00")

@@ -78,9 +78,10 @@ def test_gate_reports_all_fatal_checks(spark):
     ]
     with pytest.raises(quality.ValidationPolicyError) as error:
         quality.enforce_policy(spark.createDataFrame(summary, SUMMARY))
-    assert error.value.fatal_checks == (summary[1], summary[2])
-    assert error.value.validation_summary == tuple(summary)
-    assert "orders_missing_customer (1,200 violation(s))" in str(error.value)
+    found = [(row.check_name, row.violation_count, row.status) for row in error.value.rows]
+    assert [row[:2] for row in found] == summary
+    assert [row[2] for row in found[1:3]] == ["fatal", "fatal"]
+    assert "2 check(s): orders_missing_customer, payments_invalid_value" in str(error.value)
 
 
 def test_gate_lets_warnings_pass(spark):
