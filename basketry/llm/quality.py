@@ -42,10 +42,10 @@ ZERO_BIN = -10_000  # rates under LEAST
 LEAST = 1e-6
 # Each rate, the least distance of its quartiles, and whether low values are odd too.
 RATES = {
-    "symbols": (F.col("n_symbols") / F.col("n_words"), 0.05, False),
-    "dup_lines": (F.col("n_dup_lines") / F.col("n_lines"), 0.15, False),
-    "repeat_words": (F.col("n_repeat_words") / F.col("n_words"), 0.1, False),
-    "word_length": (F.col("word_chars") / F.col("n_words"), 1.5, True),
+    "symbols": ("n_symbols / n_words", 0.05, False),
+    "dup_lines": ("n_dup_lines / n_lines", 0.15, False),
+    "repeat_words": ("n_repeat_words / n_words", 0.1, False),
+    "word_length": ("word_chars / n_words", 1.5, True),
 }
 
 
@@ -113,7 +113,10 @@ def measured(docs: DataFrame) -> DataFrame:
 def sketches(facts: DataFrame) -> DataFrame:
     """(lang, source, rate, bin, n): the quantile sketch of each rate in each group."""
     rates = F.array(
-        *[F.struct(F.lit(name).alias("rate"), rate.alias("x")) for name, (rate, _, _) in RATES.items()]
+        *[
+            F.struct(F.lit(name).alias("rate"), F.expr(rate).alias("x"))
+            for name, (rate, _, _) in RATES.items()
+        ]
     )
     step = F.ceil(F.log(F.col("r.x")) / F.lit(math.log(GROWTH))).cast("int")
     return (
@@ -189,7 +192,9 @@ def judged(docs: DataFrame) -> DataFrame:
     limits = F.coalesce("group_ends", "lang_ends", "all_ends")
     within = F.lit(True)
     for name, (rate, _, _) in RATES.items():
-        within = within & (rate >= limits[f"{name}_low"]) & (rate <= limits[f"{name}_high"])
+        # Of documents that fail a base rule the rates may not exist.
+        value = F.when(~F.col("base_failed"), F.expr(rate))
+        within = within & (value >= limits[f"{name}_low"]) & (value <= limits[f"{name}_high"])
     kept = ~F.col("base_failed") & F.coalesce(within, F.lit(False))
     return out.select("doc_id", "row", *COUNTS, "base_failed", kept.alias("kept"))
 
