@@ -58,9 +58,7 @@ def _lengths(path: str):
         encoder = Encoder(path)
         for batch in batches:
             pieces = batch.column("piece").to_pylist()
-            encoder.known, encoder.parts = {}, {}
-            encoder.learn(pieces)
-            tokens = [len(encoder.known[piece]) // 4 for piece in pieces]
+            tokens = encoder.lengths(pieces)
             yield pa.record_batch(
                 [batch.column("piece"), batch.column("n"), pa.array(tokens, pa.int64())],
                 names=["piece", "n", "tokens"],
@@ -81,7 +79,7 @@ def _frequencies(path: str, frequent):
                     some.column("doc_id").to_pylist(), some.column("text").to_pylist()
                 ):
                     sure = 0
-                    for piece, n in Counter(encoder.pieces(text)).items() if text else ():
+                    for piece, n in Counter(encoder.pieces(text or "")).items():
                         tokens = find(piece)
                         if tokens is None:
                             ids.append(doc)
@@ -156,7 +154,7 @@ def token_counts(
     )
     # Rows without a pre-token meet nothing; their keys differ, so that no task gets them all.
     rows = rows.withColumn(
-        "key", F.coalesce("piece", F.concat(F.lit("\0"), F.col("doc_id").cast("string")))
+        "key", F.coalesce("piece", F.concat(F.lit("\0\0"), F.col("doc_id").cast("string")))
     )
     rest = lengths.where(F.col("n") < least).select(F.col("piece").alias("key"), "tokens")
     summed = rows.join(rest, "key", "left").select(

@@ -1,23 +1,33 @@
 """Token ids of whole texts, exactly as the tokenizers library gives them.
 
 Byte-level BPE merges within pre-tokens only, and a blank that a visible character follows always
-opens a pre-token. Texts are therefore cut before such blanks, each distinct piece is encoded by the
-library once a task, and a text's ids are those of its pieces in order. Texts with another kind of
-white space after a blank, or with a special string, are encoded whole.
+opens a pre-token. Texts are therefore cut before such blanks, a distinct piece is encoded by the
+library once as long as a worker remembers it, and a text's ids are those of its pieces in order. Texts
+with another kind of white space after a blank, or with a special string, are encoded whole.
+
+A piece is given without its blank; one that opens its text is given after a NUL instead.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from itertools import filterfalse
+import sys
+import types
 
 import numpy as np
 
 # A blank before anything that some definition calls white space, or before the end.
 UNSAFE = re.compile("[ ](?=[\\s\x1c-\x1f\x85᠎​⁠﻿]|$)")
 MARKS = frozenset(".,;:!?")
-REMEMBERED = 1_000_000
+REMEMBERED = 1_800_000
+OPENING = "\0"
+
+
+def worker_memory() -> dict:
+    """A dictionary that lives as long as the Python worker, from task to task."""
+    name = "basketry_worker_memory"
+    return vars(sys.modules.setdefault(name, types.ModuleType(name)))
 
 
 def default_path() -> str:
@@ -27,26 +37,37 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def parts_of(piece: str) -> list[str]:
-    """Cuts a piece further, at single line ends and before one mark after a letter or digit."""
+class Memory(dict):
+    """Ids by piece; asked for a piece that it lacks, it gives None and notes the piece."""
+
+    def __init__(self):
+        self.lacking: set[str] = set()
+
+    def __missing__(self, piece):
+        self.lacking.add(piece)
+
+
+def parts_of(piece: str) -> list[str] | None:
+    """The pieces of a piece: cut at single line ends, and before one mark after a letter or digit.
+
+    None if there is nothing to cut.
+    """
     if "\n" not in piece:
-        if piece[-1:] in MARKS and piece[-2:-1].isalnum():
-            return [piece[:-1], piece[-1]]
-        return [piece]
-    lines = piece.split("\n")
+        if piece[-1] in MARKS and piece[-2:-1].isalnum():
+            return [piece[:-1], OPENING + piece[-1]]
+        return None
+    opened = piece.startswith(OPENING)
+    lines = piece[opened:].split("\n")
     if not all(
         line and not line[-1].isspace() and (not at or not line[0].isspace())
         for at, line in enumerate(lines)
     ):
-        return [piece]
+        return None
     parts = []
     for at, line in enumerate(lines):
-        if at:
-            parts.append("\n")
-        if len(line) > 1 and line[-1] in MARKS and line[-2].isalnum():
-            parts += [line[:-1], line[-1]]
-        else:
-            parts.append(line)
+        own = OPENING + line if at or opened else line
+        parts += [OPENING + "\n"] * (at > 0)
+        parts += parts_of(own) or [own]
     return parts
 
 
@@ -57,7 +78,10 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        memory = worker_memory()
+        if path not in memory:
+            memory[path] = (Tokenizer.from_file(path), Memory())
+        self.tokenizer, self.known = memory[path]
         added = self.tokenizer.get_added_tokens_decoder()
         plain = [k for k, t in added.items() if not (t.lstrip or t.rstrip or t.single_word)]
         self.special = re.compile("|".join(re.escape(t.content) for t in added.values()) or "(?!)")
@@ -68,68 +92,98 @@ class Encoder:
             and self.tokenizer.normalizer is None
             and len(plain) == len(added)
         )
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
 
-    def pieces(self, text: str) -> list[str]:
+    def pieces(self, text: str | None) -> list[str]:
         """The text cut into pieces that encode alike alone and in the text."""
-        if not self.cuttable or UNSAFE.search(text) or self.special.search(text):
-            return [text]
-        pieces = text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text]
-        return pieces if pieces[0] else pieces[1:]
+        if not text:
+            return []
+        if (
+            not self.cuttable
+            or OPENING in text
+            or UNSAFE.search(text)
+            or self.special.search(text)
+        ):
+            return [OPENING + text]
+        pieces = text.split(" ")
+        if not pieces[0]:
+            return pieces[1:]
+        pieces[0] = OPENING + pieces[0]
+        return pieces
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers; null counts as empty."""
-        cut = [self.pieces(text) if text else [] for text in texts]
         if len(self.known) > REMEMBERED:
-            self.known, self.parts = {}, {}
-        missing: set[str] = set()
-        for pieces in cut:
-            missing.update(filterfalse(self.known.__contains__, pieces))
-        self.learn(missing)
-        find = self.known.__getitem__
-        return [b"".join(map(find, pieces)) for pieces in cut]
-
-    def learn(self, pieces) -> None:
-        """Encodes pieces not met before."""
-        whole = not self.cuttable
-        cut = {
-            piece: [piece] if whole or self.special.search(piece) else parts_of(piece)
-            for piece in pieces
-        }
-        self._encode_parts(list({p for ps in cut.values() for p in ps} - self.parts.keys()))
+            self.known.clear()
+        cut = [self.pieces(text) for text in texts]
+        found = [list(map(self.known.__getitem__, pieces)) for pieces in cut]
+        self.learn()
+        for ids, pieces in zip(found, cut):
+            at = 0
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at)
+                ids[at] = self.known[pieces[at]]
+        return [b"".join(ids) for ids in found]
+
+    def lengths(self, pieces: list[str]) -> list[int]:
+        """How many tokens each piece has."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        for piece in pieces:
+            self.known[piece]
+        self.learn()
+        return [len(self.known[piece]) // 4 for piece in pieces]
+
+    def learn(self) -> None:
+        """Encodes the pieces that were asked for and lacking."""
+        pieces, self.known.lacking = self.known.lacking, set()
+        cut, new = {}, set()
+        for piece in pieces:
+            # A text with a special string is one piece, which opens it.
+            whole = piece[0] == OPENING and (not self.cuttable or self.special.search(piece))
+            parts = None if whole else parts_of(piece)
+            if parts:
+                cut[piece] = parts
+                new.update(parts)
+            else:
+                new.add(piece)
+        self._encode([piece for piece in new if piece not in self.known])
         for piece, parts in cut.items():
-            self.known[piece] = b"".join(map(self.parts.__getitem__, parts))
-
-    def _encode_parts(self, parts: list[str]) -> None:
-        alone = [p for p in parts if self.special.search(p) or self.between is None]
+            self.known[piece] = b"".join([self.known[part] for part in parts])
+
+    def _encode(self, pieces: list[str]) -> None:
+        texts = [p[1:] if p[0] == OPENING else " " + p for p in pieces]
+        joined = self.between is not None
+        alone = [
+            at
+            for at, piece in enumerate(pieces)
+            if not joined or (piece[0] == OPENING and self.special.search(piece))
+        ]
         for at in range(0, len(alone), 5_000):
             some = alone[at : at + 5_000]
-            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.parts.update(
-                (part, np.array(e.ids, "<u4").tobytes()) for part, e in zip(some, found)
+            found = self.tokenizer.encode_batch_fast(
+                [texts[k] for k in some], add_special_tokens=False
             )
-        if len(alone) == len(parts):
+            for k, e in zip(some, found):
+                self.known[pieces[k]] = np.array(e.ids, "<u4").tobytes()
+        if not joined:
             return
-        # Many parts in one call, with a special token between them: less work than a call each.
-        together = [p for p in parts if not self.special.search(p)]
+        # Many pieces in one call, with a special token between them: less work than a call each.
         between = self.tokenizer.id_to_token(self.between)
-        for at in range(0, len(together), 20_000):
-            runs = [
-                together[k : min(k + 200, at + 20_000)]
-                for k in range(at, min(at + 20_000, len(together)), 200)
-            ]
+        apart = set(alone)
+        rest = [k for k in range(len(pieces)) if k not in apart]
+        for at in range(0, len(rest), 20_000):
+            some = rest[at : at + 20_000]
+            runs = [some[k : k + 200] for k in range(0, len(some), 200)]
             found = self.tokenizer.encode_batch_fast(
-                [between.join(run) for run in runs], add_special_tokens=False
+                [between.join([texts[k] for k in run]) for run in runs], add_special_tokens=False
             )
             for run, e in zip(runs, found):
                 ids = np.array(e.ids, "<u4")
-                ends = np.append(np.flatnonzero(ids == self.between), len(ids))
-                data, begins = ids.tobytes(), np.append(0, ends[:-1] + 1)
-                self.parts.update(
-                    (part, data[4 * a : 4 * b])
-                    for part, a, b in zip(run, begins.tolist(), ends.tolist())
-                )
+                ends = (np.append(np.flatnonzero(ids == self.between), len(ids)) * 4).tolist()
+                data, begin = ids.tobytes(), 0
+                for k, end in zip(run, ends):
+                    self.known[pieces[k]] = data[begin:end]
+                    begin = end + 4
 
 
 def small_batches(batch, most_bytes: int = 4_000_000):
