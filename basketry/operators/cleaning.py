@@ -78,7 +78,7 @@ def deliveries(t: Tables) -> DataFrame:
 
 def clean_deliveries(t: Tables) -> DataFrame:
     """Clean deliveries without regard to payment, hence without the join to them."""
-    return t.stored.get(DELIVERIES) or cleaned_orders(t.orders)
+    return t.stored[DELIVERIES] if DELIVERIES in t.stored else cleaned_orders(t.orders)
 
 
 def paid_deliveries(t: Tables) -> DataFrame:
