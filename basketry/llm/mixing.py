@@ -1,13 +1,15 @@
 """Mixing documents so that the tokens of each domain come to given weights.
 
 Domains are soft: a classifier learned from the labels gives each document a probability for each
-domain. It is a naive Bayes classifier with normal densities over a few rates of the text; means and
-variances come from one aggregate over the labelled documents. A document's tokens (its words) belong
+domain. It is a naive Bayes classifier with normal densities over a few rates of the text; means, and
+the variances that all domains share, come from one aggregate over the labelled documents. A document's tokens (its words) belong
 to the domains by these probabilities.
 
 Each document gets a rate, zero or more: how often it is expected in the mixture. The rates minimise
 the squared distance between the expected tokens of each domain and its target, by gradient steps
-from rate one, each followed by setting negative rates to zero. A step needs one sum per domain over
+from rate one, each followed by setting negative rates to zero; they end when all domains are close
+to their targets or after a number of steps, which keeps rates near one where domains can hardly be
+told apart. A step needs one sum per domain over
 all documents. A document's rate is a function of its own tokens and of the few numbers of all steps,
 so no rates are stored between steps, and in the end
 no join is needed.
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +35,8 @@ from basketry.llm.scratch import stored
 
 DOMAINS = ("plain", "good", "toxic")
 # Weights of the domains in the mixture, and how many steps the descent takes.
-TARGETS = {"plain": 0.05, "good": 0.9, "toxic": 0.05}
-STEPS = 40
+TARGETS = {"plain": 0.1, "good": 0.8, "toxic": 0.1}
+STEPS = 12
 CLOSE = 1e-4  # of a target
 LEAST_VARIANCE = 1e-6
 
@@ -89,7 +92,11 @@ def densities(facts: DataFrame, labels: DataFrame) -> dict[str, dict[str, float]
         facts.join(labelled, F.col("doc.doc_id") == F.col("doc_id")).groupBy("domain").agg(F.count("*").alias("n"), *moments)
     ).collect()
     total = sum(row["n"] for row in found)
-    return {row["domain"]: {**row.asDict(), "share": row["n"] / total} for row in found}
+    # Domains share their variances: where their means are alike, the shares decide.
+    pooled = {
+        f"var_{c}": sum(row["n"] * row[f"var_{c}"] for row in found) / total for c in names if total
+    }
+    return {row["domain"]: {**row.asDict(), **pooled, "share": row["n"] / total} for row in found}
 
 
 def posteriors(names: list[str], model: dict[str, dict[str, float]]) -> dict[str, Column]:
@@ -100,7 +107,7 @@ def posteriors(names: list[str], model: dict[str, dict[str, float]]) -> dict[str
         for c in names:
             variance = max(known[f"var_{c}"], LEAST_VARIANCE)
             apart = F.col(c) - F.lit(known[f"mean_{c}"])
-            score = score - F.lit(0.5 * math.log(variance)) - apart * apart / (2 * variance)
+            score = score - apart * apart / (2 * variance)
         scores[one] = score
     highest = F.greatest(*scores.values()) if len(scores) > 1 else next(iter(scores.values()))
     weights = {one: F.exp(score - highest) for one, score in scores.items()}
@@ -123,7 +130,7 @@ def fitted(
     targets: dict[str, float] = TARGETS,
     steps: int = STEPS,
 ) -> tuple[dict[str, Column], Column]:
-    """The probability of each domain and the rate, as expressions on measured() documents.
+    """The probability of each domain on measured() documents, and the rate on those of known().
 
     The targets are weights of the domains; together they stand for as many tokens as all documents
     have.
@@ -132,23 +139,25 @@ def fitted(
     names = [c for c in facts.columns if c.startswith("x_")]
     model = densities(facts, labels.select("doc_id", "quality", "toxic"))
     chances = posteriors(names, model) if model else {}
-    known = [one for one in DOMAINS if one in chances]
+    learned = [one for one in DOMAINS if one in chances]
     every = {one: chances.get(one, F.lit(0.0)) for one in DOMAINS}
     given = stored(
-        facts.select("tokens", *[chances[one].alias(f"p_{one}") for one in known]), "posteriors"
+        facts.select("tokens", *[chances[one].alias(f"p_{one}") for one in learned]), "posteriors"
     )
     total = given.agg(F.sum("tokens").alias("n")).head()["n"] or 0
-    weight = sum(targets.get(one, 0) for one in known)
-    if not known or not total or not weight:
+    weight = sum(targets.get(one, 0) for one in learned)
+    if not learned or not total or not weight:
         return every, F.lit(1.0)
 
-    squares = given.agg(
-        *[F.sum(F.pow(F.col("tokens") * F.col(f"p_{one}"), 2)) for one in known]
-    ).head()
-    # Each domain's equation is scaled to unit length, so steps of one over their number are safe.
-    scale = [1 / math.sqrt(s) if s else 0.0 for s in squares]
-    owned = [F.lit(c) * F.col("tokens") * F.col(f"p_{one}") for one, c in zip(known, scale)]
-    wanted = [total * targets.get(one, 0) / weight * c for one, c in zip(known, scale)]
+    # Each domain's equation is scaled to unit length; the products of the equations, a table of the
+    # number of domains squared, then bound how long a step may be.
+    raw = [F.col("tokens") * F.col(f"p_{one}") for one in learned]
+    products = given.agg(*[F.sum(a * b) for a in raw for b in raw]).head()
+    gram = np.array(products, float).reshape(len(learned), len(learned))
+    scale = [1 / math.sqrt(s) if s > 0 else 0.0 for s in gram.diagonal()]
+    longest = float(np.linalg.eigvalsh(gram * np.outer(scale, scale)).max()) or 1.0
+    owned = [F.lit(c) * F.col("tokens") * F.col(f"p_{one}") for one, c in zip(learned, scale)]
+    wanted = [total * targets.get(one, 0) / weight * c for one, c in zip(learned, scale)]
     taken: list[list[float]] = []
     for _ in range(steps):
         rate = _rate(owned, taken)
@@ -156,18 +165,24 @@ def fitted(
         gap = [s - w for s, w in zip(sums, wanted)]
         if all(abs(g) <= CLOSE * w for g, w in zip(gap, wanted)):
             break
-        taken.append([g / len(known) for g in gap])
-    owned = [F.lit(c) * F.col("tokens") * chances[one] for one, c in zip(known, scale)]
+        taken.append([g / longest for g in gap])
     return every, _rate(owned, taken)
 
 
+def known(docs: DataFrame, chances: dict[str, Column]) -> DataFrame:
+    """(doc, tokens, p_<domain>): each row as a struct, with its probabilities as columns."""
+    return measured(docs).select(
+        "doc", "tokens", *[chance.alias(f"p_{one}") for one, chance in chances.items()]
+    )
+
+
 def rates(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """(doc_id, tokens, p_<domain>, rate) of documents (doc_id, text)."""
     chances, rate = fitted(docs, labels, **options)
-    return measured(docs).select(
+    return known(docs, chances).select(
         F.col("doc.doc_id").alias("doc_id"),
         "tokens",
-        *[chance.alias(f"p_{one}") for one, chance in chances.items()],
+        *[f"p_{one}" for one in chances],
         rate.alias("rate"),
     )
 
@@ -178,11 +193,11 @@ def mixed(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     The whole part of the rate is taken as it is; for the rest a number drawn from the id and the text
     decides, the same in every run.
     """
-    _, rate = fitted(docs, labels, **options)
+    chances, rate = fitted(docs, labels, **options)
     drawn = F.pmod(F.xxhash64(F.lit("mixture"), "doc.doc_id", "doc.text"), F.lit(1 << 30))
     times = F.floor(rate + drawn / float(1 << 30)).cast("int")
     return (
-        measured(docs)
+        known(docs, chances)
         .withColumn("times", times)
         .where("times > 0")
         .select("doc", F.explode(F.sequence(F.lit(1), F.col("times"))))

@@ -35,6 +35,6 @@ def test_stages(spark):
     assert {row["doc_id"]: row["text"] for row in cut.collect()} == left
     assert all(row["n_chars"] == len(row["text"]) for row in cut.collect())
     # Nearly all that is left is good, and the mixture keeps it.
-    assert mixed.select("doc_id").distinct().count() >= 0.95 * cut.count()
+    assert mixed.select("doc_id").distinct().count() >= 0.8 * cut.count()
     pieces = {row["doc_id"] for row in packed.collect()}
     assert pieces == {row["doc_id"] for row in mixed.collect()}
