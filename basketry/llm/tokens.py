@@ -20,7 +20,7 @@ import numpy as np
 # A blank before anything that some definition calls white space, or before the end.
 UNSAFE = re.compile("[ ](?=[\\s\x1c-\x1f\x85᠎​⁠﻿]|$)")
 MARKS = frozenset(".,;:!?")
-REMEMBERED = 1_800_000
+REMEMBERED = 900_000
 OPENING = "\0"
 
 
