@@ -1,9 +1,9 @@
 """Connected components of a graph given by its edges, by repeated contraction.
 
-In each round every node goes to the neighbour that comes first in an order drawn anew for the round
-(or stays), and the edges are carried over to where their ends went. A constant share of the nodes
-goes away in a round, whatever the shape of the components, long chains too. What each round decided
-is a stored table; in the end the rounds are followed back.
+In each round every node goes to the neighbour that comes first in some order (or stays), and the
+edges are carried over to where their ends went. The order is by id and, in every other round, drawn
+anew: then a constant share of the nodes goes away whatever the shape of the components, long chains
+too. What each round decided is a stored table; in the end the rounds are followed back.
 """
 
 from __future__ import annotations
@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from basketry.llm.scratch import stored
 
 
-def _order(node: str, drawn: int):
-    return F.struct(F.xxhash64(node, F.lit(drawn)).alias("drawn"), F.col(node).alias("node"))
+def _order(node: str, rounds: int):
+    """By id in every other round: links to the first of a group go at once."""
+    drawn = F.xxhash64(node, F.lit(rounds)) if rounds % 2 else F.lit(0).cast("long")
+    return F.struct(drawn.alias("drawn"), F.col(node).alias("node"))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-GATHERED = 2_000_000
+GATHERED = 1_000_000
 
 
 def range_bits(spark: SparkSession) -> int:

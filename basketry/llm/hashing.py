@@ -110,7 +110,7 @@ def shingles(hashed: np.ndarray, size: int) -> np.ndarray:
     return mixed(out)
 
 
-def runs_of_texts(column: pa.Array, most_bytes: int = 4_000_000):
+def runs_of_texts(column: pa.Array, most_bytes: int = 1_000_000):
     """(first, last) of runs of texts with about `most_bytes`, so that work arrays stay small."""
     sizes = np.diff(buffers(column)[1])
     at = 0

@@ -11,10 +11,12 @@ the same class; the prefix is extended until the rare tokens and, in each class,
 but one come to more than a fifth. Frequent tokens have the more classes the larger the documents, by
 powers of two; documents near a power have keys for either side.
 
-Documents with a key in common are candidates. They are first compared with the first document of
-their most frequent company, then with the first documents of all lists they are in, then, where a
-list still has documents of several components, across these. Documents known to hang together are
-not compared again, so a list of thousands of copies costs thousands of comparisons.
+Documents with a key in common are candidates. In each of a few rounds a document is compared with one
+other, which is the first one in most of its lists and not known to hang together with it. Then, where
+a list still has documents of several components, all are compared across these. So a list of
+thousands of copies costs thousands of comparisons. Before whole sets are compared, a pair must pass two bounds that no link fails: the
+sizes, and the bits in which parities of their tokens differ (each such bit is a token that only one
+of them has).
 
 Null text and text without a word have no tokens and link with nothing; texts with fewer words than
 a shingle are one token. Rows with a null id link with nothing. Rows with the same id are one
@@ -46,6 +48,9 @@ from basketry.llm.scratch import stored
 SIZE = 5
 CLASS = np.uint64(0xD6E8FEB86659FD93)
 PAIR = np.uint64(0xA0761D6478BD642F)
+ROUNDS = 2
+BLOCK = 1000
+SKETCH = 64  # bytes
 LEAST_FREQUENT = 32
 MOST_FREQUENT = 1 << 20
 
@@ -76,6 +81,120 @@ def _digest(tokens: np.ndarray) -> tuple[int, int]:
         )
 
 
+def parities(tokens: np.ndarray) -> bytes:
+    """Bit k: whether an odd number of tokens falls on it. Two to four bits for each token."""
+    bits = 8 << max(0, (len(tokens) - 1).bit_length() - 2)
+    odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """At least so many tokens are in one of the two sets only."""
+    size = min(len(a), len(b))
+    x, y = (_folded(np.frombuffer(bits, np.uint8), size) for bits in (a, b))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """Parities as they would be with fewer bits."""
+    while len(bits) > size:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
+
+
+def _possible(batches):
+    """Pairs that sizes and parities do not rule out."""
+    for batch in batches:
+        a_n, b_n, a_bits, b_bits = (
+            batch.column(c).to_pylist() for c in ("a_n", "b_n", "a_bits", "b_bits")
+        )
+        passed = [
+            # common <= (n + m - differing) / 2, and a link needs 1.8 * common >= 0.8 * (n + m)
+            180 * (n + m - differing(x, y)) >= 160 * (n + m)
+            for n, m, x, y in zip(a_n, b_n, a_bits, b_bits)
+        ]
+        yield batch.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
+
+
+def _across(batches):
+    """Pairs of a list with different labels that sizes and parities do not rule out, each once a task."""
+    known: set[tuple[int, int]] = set()
+
+    def pairs(rows):
+        bits = min(len(row["bits"]) for row in rows)
+        table = np.stack([_folded(np.frombuffer(row["bits"], np.uint8), bits) for row in rows])
+        table = table.view(np.uint64) if bits % 8 == 0 else table
+        label, n, doc, block = (
+            np.array([row[c] for row in rows], np.int64) for c in ("label", "n", "doc_id", "block")
+        )
+        # All but the documents of the most common label, against all.
+        names, of, often = np.unique(label, return_inverse=True, return_counts=True)
+        for i in np.flatnonzero(of != often.argmax()).tolist():
+            total = n + n[i]
+            good = (label != label[i]) & (100 * np.minimum(n, n[i]) >= 80 * np.maximum(n, n[i]))
+            if rows[0]["low"] != rows[0]["high"]:
+                good &= block != block[i]
+            at = np.flatnonzero(good)
+            apart = np.bitwise_count(table[at] ^ table[i]).sum(axis=1, dtype=np.int64)
+            at = at[180 * (total[at] - apart) >= 160 * total[at]]
+            for j in doc[at].tolist():
+                yield min(j, int(doc[i])), max(j, int(doc[i]))
+
+    def taken(rows):
+        new = set(pairs(rows)) - known
+        if len(known) < 100_000:
+            known.update(new)
+        a, b = zip(*new) if new else ((), ())
+        return pa.record_batch(
+            [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
+        )
+
+    waiting, now = [], None
+    for batch in batches:
+        for row in batch.to_pylist():
+            group = (row["key"], row["low"], row["high"])
+            if group != now:
+                if len(waiting) > 1:
+                    yield taken(waiting)
+                waiting, now = [], group
+            waiting.append(row)
+    if len(waiting) > 1:
+        yield taken(waiting)
+
+
+def across(members: DataFrame, facts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of documents in a list (key, doc_id, label) that may link over labels.
+
+    Long lists are compared block against block, so that a task holds two blocks at most. The
+    parities that go with each row are folded to a fixed size.
+    """
+    blocks = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    groups = ["key", "low", "high"]
+    return (
+        members.join(
+            facts.select("doc_id", "n", F.col("sketch").alias("bits")), "doc_id"
+        )
+        .join(blocks, "key")
+        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+        .withColumn("other", other)
+        .select(
+            "key",
+            F.least("block", "other").alias("low"),
+            F.greatest("block", "other").alias("high"),
+            "block",
+            "doc_id",
+            "label",
+            "n",
+            "bits",
+        )
+        .repartition(*groups)
+        .sortWithinPartitions(*groups)
+        .mapInArrow(_across, "a long, b long")
+        .distinct()
+    )
+
+
 def _counted(size: int, bits: int):
     """How many documents of the task have each token, by ranges of tokens."""
 
@@ -201,11 +320,11 @@ def _keys(size: int, bits: int, frequent):
             return _full(rows)
 
         def _full(rows=(), facts=()):
-            rows = [(*row, None, None, None, None) for row in rows]
+            rows = [(*row, *[None] * 6) for row in rows]
             rows += [(-1, None, None, *fact) for fact in facts]
-            kinds = [pa.int32(), pa.binary(), pa.binary()] + [pa.int64()] * 4
-            names = ["range", "keys", "docs", "doc_id", "n", "d1", "d2"]
-            columns = zip(*rows) if rows else [[]] * 7
+            kinds = [pa.int32(), pa.binary(), pa.binary()] + [pa.int64()] * 4 + [pa.binary()] * 2
+            names = ["range", "keys", "docs", "doc_id", "n", "d1", "d2", "bits", "sketch"]
+            columns = zip(*rows) if rows else [[]] * 9
             return pa.record_batch(
                 [pa.array(c, k) for c, k in zip(columns, kinds)], names=names
             )
@@ -214,7 +333,9 @@ def _keys(size: int, bits: int, frequent):
             facts, ids = [], batch.column("doc_id").to_pylist()
             for at, tokens in token_sets(batch.column("text"), size, hasher):
                 digest = _digest(tokens)
-                facts.append((ids[at], len(tokens), *digest))
+                odd = parities(tokens)
+                sketch = _folded(np.frombuffer(odd, np.uint8), SKETCH).tobytes()
+                facts.append((ids[at], len(tokens), *digest, odd, sketch))
                 # Of equal sets in a task one stands for all: they link by their digest.
                 if not len(tokens) or ids[at] is None or digest in seen:
                     continue
@@ -239,7 +360,7 @@ def _keys(size: int, bits: int, frequent):
 
 
 def _lists(batches):
-    """(key, hub, doc_id) for the documents of each key that several have; the hub is the first."""
+    """(key, doc_id) for the documents of each key that several have."""
     for at, rows in dealing.ranges_of(batches):
         keys = np.concatenate([dealing.undealt(at, row["keys"]) for row in rows])
         docs = np.concatenate([dealing.from_plane_bytes(row["docs"], np.int64) for row in rows])
@@ -250,16 +371,11 @@ def _lists(batches):
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         n = np.diff(np.append(first, len(keys)))
         several = np.repeat(n > 1, n)
-        hubs = np.repeat(docs[first], n)
-        for a in range(0, int(several.sum()), 100_000):
-            some = slice(a, a + 100_000)
+        keys, docs = keys[several].view(np.int64), docs[several]
+        for a in range(0, len(keys), 100_000):
             yield pa.record_batch(
-                [
-                    pa.array(keys[several][some].view(np.int64)),
-                    pa.array(hubs[several][some]),
-                    pa.array(docs[several][some]),
-                ],
-                names=["key", "hub", "doc_id"],
+                [pa.array(keys[a : a + 100_000]), pa.array(docs[a : a + 100_000])],
+                names=["key", "doc_id"],
             )
 
 
@@ -289,21 +405,57 @@ def _set_batch(docs, out) -> pa.RecordBatch:
     )
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, facts: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """The pairs (a, b) whose sets have a Jaccard similarity of 0.8 or more."""
+    sized = pairs
+    for end in ("a", "b"):
+        own = facts.select(
+            F.col("doc_id").alias(end), F.col("n").alias(f"{end}_n"), F.col("bits").alias(f"{end}_bits")
+        )
+        sized = sized.join(own, end)
+    sized = sized.where(100 * F.least("a_n", "b_n") >= 80 * F.greatest("a_n", "b_n"))
+    possible = stored(sized.mapInArrow(_possible, "a long, b long").distinct(), "possible")
+
+    wanted = possible.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = stored(
+        docs.join(wanted, "doc_id", "left_semi").mapInArrow(
+            _sets(size), "doc_id long, tokens array<long>"
+        ),
+        "sets",
+    )
     first = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("a_tokens"))
     second = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("b_tokens"))
-    both = pairs.join(first, "a").join(second, "b")
     common = F.size(F.array_intersect("a_tokens", "b_tokens"))
     every = F.size("a_tokens") + F.size("b_tokens") - F.col("common")
-    smaller = F.least(F.size("a_tokens"), F.size("b_tokens"))
-    larger = F.greatest(F.size("a_tokens"), F.size("b_tokens"))
-    return (
-        both.where(100 * smaller >= 80 * larger)
+    found = (
+        possible.join(first, "a")
+        .join(second, "b")
         .withColumn("common", common)
         .where(100 * F.col("common") >= 80 * every)
-        .select("a", "b")
     )
+    return stored(found.select("a", "b"), "links")
+
+
+def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, doc_id, label, hub, hub_label) of the lists whose documents do not all hang together."""
+    labelled = stored(
+        lists.join(labels, F.col("doc_id") == F.col("id"), "left").select(
+            "key", "doc_id", F.coalesce("component", "doc_id").alias("label")
+        ),
+        "labelled",
+    )
+    groups = (
+        labelled.groupBy("key")
+        .agg(
+            F.min("label").alias("low"),
+            F.max("label").alias("high"),
+            F.min("doc_id").alias("hub"),
+            F.min_by("label", "doc_id").alias("hub_label"),
+        )
+        .where("low <> high")
+        .select("key", "hub", "hub_label")
+    )
+    return labelled.join(groups, "key")
 
 
 def similar_components(docs: DataFrame, size: int = SIZE) -> DataFrame:
@@ -315,15 +467,18 @@ def similar_components(docs: DataFrame, size: int = SIZE) -> DataFrame:
     made = stored(
         docs.mapInArrow(
             _keys(size, bits, frequent),
-            "range int, keys binary, docs binary, doc_id long, n long, d1 long, d2 long",
+            "range int, keys binary, docs binary, doc_id long, n long, d1 long, d2 long, "
+            "bits binary, sketch binary",
         ),
         "keys",
         "lz4",
     )
-    facts = made.where("range = -1").select("doc_id", "n", "d1", "d2")
+    facts = made.where("range = -1").select(
+        "doc_id", "n", "d1", "d2", "bits", "sketch"
+    )
     lists = stored(
         dealing.met(made.where("range >= 0").select("range", "keys", "docs")).mapInArrow(
-            _lists, "key long, hub long, doc_id long"
+            _lists, "key long, doc_id long"
         ),
         "lists",
     )
@@ -336,72 +491,29 @@ def similar_components(docs: DataFrame, size: int = SIZE) -> DataFrame:
         .select("a", F.col("doc_id").alias("b")),
         "links",
     )
-    labels = components(links)
-
-    wanted = lists.select("doc_id").distinct()
-    sets = stored(
-        docs.join(wanted, "doc_id", "left_semi").mapInArrow(
-            _sets(size), "doc_id long, tokens array<long>"
-        ),
-        "sets",
-    )
-
-    def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose documents are not known to hang together."""
-        for end in ("a", "b"):
-            own = labels.select(F.col("id").alias(end), F.col("component").alias(f"{end}_in"))
-            pairs = pairs.join(own, end, "left")
-        return pairs.where(
-            "coalesce(a_in, a) <> coalesce(b_in, b)"
-        ).select("a", "b")
-
-    hubs = stored(
-        lists.where("hub <> doc_id")
-        .groupBy(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
-        .agg(F.count("*").alias("keys")),
-        "hubs",
-    )
-    nearest = stored(hubs.groupBy("b").agg(F.max_by("a", F.struct("keys", -F.col("a"))).alias("a")), "nearest")
-    found = stored(verified(apart(nearest, labels), sets), "links")
-    links = links.union(found)
-    labels = components(links)
-
-    rest = apart(hubs.select("a", "b"), labels).join(nearest, ["a", "b"], "left_anti")
-    found = stored(verified(rest, sets), "links")
-    links = links.union(found)
-    labels = components(links)
+    labels = links.select(F.col("b").alias("id"), F.col("a").alias("component"))
+
+    tested = spark.createDataFrame([], "a long, b long")
+    for done in range(ROUNDS):
+        open_lists = _open(lists, labels)
+        hubs = (
+            open_lists.where("label <> hub_label")
+            .groupBy("doc_id", F.col("hub").alias("a"))
+            .agg(F.count("*").alias("keys"))
+            .withColumnRenamed("doc_id", "b")
+        )
+        if done:
+            hubs = hubs.join(tested, ["a", "b"], "left_anti")
+        nearest = hubs.groupBy("b").agg(F.max_by("a", F.struct("keys", -F.col("a"))).alias("a"))
+        pairs = stored(nearest.select("a", "b"), "nearest")
+        tested = tested.union(pairs)
+        links = links.union(verified(pairs, facts, docs, size))
+        labels = components(links)
 
     # Lists that still have documents of several components, across these.
-    labelled = lists.join(labels, F.col("doc_id") == F.col("id"), "left").select(
-        "key", "hub", "doc_id", F.coalesce("component", "doc_id").alias("label")
-    )
-    mixed_keys = (
-        labelled.groupBy("key")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low <> high")
-        .select("key")
-    )
-    labelled = stored(labelled.join(mixed_keys, "key", "left_semi"), "labelled")
-    kinds = labelled.select("key", "label").distinct()
-    across = kinds.select("key", F.col("label").alias("a_in")).join(
-        kinds.select("key", F.col("label").alias("b_in")), "key"
-    ).where("a_in < b_in")
-    members = labelled.where("hub <> doc_id")
-    crossed = (
-        across.join(
-            members.select("key", F.col("label").alias("a_in"), F.col("doc_id").alias("a")),
-            ["key", "a_in"],
-        )
-        .join(
-            members.select("key", F.col("label").alias("b_in"), F.col("doc_id").alias("b")),
-            ["key", "b_in"],
-        )
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-        .join(hubs, ["a", "b"], "left_anti")
-    )
-    found = stored(verified(crossed, sets), "links")
-    labels = components(links.union(found))
+    members = stored(_open(lists, labels).select("key", "doc_id", "label"), "members")
+    crossed = across(members, facts).join(tested, ["a", "b"], "left_anti")
+    labels = components(links.union(verified(crossed, facts, docs, size)))
 
     return (
         facts.groupBy("doc_id")
