@@ -5,14 +5,13 @@ domain. It is a naive Bayes classifier with normal densities over a few rates of
 the variances that all domains share, come from one aggregate over the labelled documents. A document's tokens (its words) belong
 to the domains by these probabilities.
 
-Each document gets a rate, zero or more: how often it is expected in the mixture. The rates minimise
-the squared distance between the expected tokens of each domain and its target, by gradient steps
-from rate one, each followed by setting negative rates to zero; they end when all domains are close
-to their targets or after a number of steps, which keeps rates near one where domains can hardly be
-told apart. A step needs one sum per domain over
-all documents. A document's rate is a function of its own tokens and of the few numbers of all steps,
-so no rates are stored between steps, and in the end
-no join is needed.
+Each document gets a rate, zero or more: how often it is expected in the mixture. Of all rates that
+give each domain its target, these are the nearest to one (in squares); where none do, those that
+come nearest to the targets. Such a rate is one less a weighted sum of the document's tokens of each
+domain, or zero, so what is looked for is one weight per domain. Newton steps on these (the problem's
+dual, which is convex) end when the optimality condition holds, each domain within CLOSE; a step
+needs a few sums over all documents. No rates are stored, the plan does not grow with the steps, and
+in the end no join is needed.
 
 All of it is DataFrame expressions; what comes to the driver has the size of the number of domains.
 
@@ -34,10 +33,10 @@ from pyspark.sql import functions as F
 from basketry.llm.scratch import stored
 
 DOMAINS = ("plain", "good", "toxic")
-# Weights of the domains in the mixture, and how many steps the descent takes.
-TARGETS = {"plain": 0.1, "good": 0.8, "toxic": 0.1}
-STEPS = 12
-CLOSE = 1e-4  # of a target
+# Weights of the domains in the mixture.
+TARGETS = {"plain": 0.05, "good": 0.9, "toxic": 0.05}
+CLOSE = 1e-4  # of the least target above zero
+RIDGE = 1e-8  # keeps the weights finite where no rates give the targets
 LEAST_VARIANCE = 1e-6
 
 
@@ -115,20 +114,54 @@ def posteriors(names: list[str], model: dict[str, dict[str, float]]) -> dict[str
     return {one: weight / total for one, weight in weights.items()}
 
 
-def _rate(owned: list[Column], steps: list[list[float]]) -> Column:
-    """The rate after these steps, from rate one."""
-    rate = F.lit(1.0)
-    for step in steps:
-        down = sum((F.lit(g) * a for g, a in zip(step, owned)), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - down)
-    return rate
+def _rate(owned: list[Column], weights) -> Column:
+    """The rate of a document that owns so much of each domain's equation."""
+    down = sum((F.lit(float(w)) * a for w, a in zip(weights, owned)), F.lit(0.0))
+    return F.greatest(F.lit(0.0), 1 - down)
+
+
+def _looked_at(given: DataFrame, owned: list[Column], wanted: np.ndarray, weights: np.ndarray):
+    """The dual's value, gradient and second derivatives at these weights."""
+    n, rate = len(owned), _rate(owned, weights)
+    some = F.when(rate > 0, 1.0).otherwise(0.0)
+    upper = [(k, m) for k in range(n) for m in range(k, n)]
+    sums = given.agg(
+        F.sum(rate * rate),
+        *[F.sum(rate * a) for a in owned],
+        *[F.sum(some * owned[k] * owned[m]) for k, m in upper],
+    ).head()
+    value = sums[0] / 2 + wanted @ weights + RIDGE / 2 * weights @ weights
+    slope = wanted + RIDGE * weights - np.array(sums[1 : n + 1], float)
+    curve = RIDGE * np.eye(n)
+    for (k, m), x in zip(upper, sums[n + 1 :]):
+        curve[k, m] += x
+        curve[m, k] = curve[k, m]
+    return value, slope, curve
+
+
+def weights_of(given: DataFrame, owned: list[Column], wanted: np.ndarray, close: np.ndarray):
+    """The weights at which each domain's condition holds but for `close`."""
+    weights = np.zeros(len(owned))
+    value, slope, curve = _looked_at(given, owned, wanted, weights)
+    while (np.abs(slope) > close).any():
+        step, length = -np.linalg.solve(curve, slope), 1.0
+        while True:
+            there = weights + length * step
+            found = _looked_at(given, owned, wanted, there)
+            lower = found[0] <= value + 1e-4 * length * (slope @ step)
+            if lower or np.linalg.norm(found[1]) <= np.linalg.norm(slope) / 2:
+                break
+            length /= 2
+            if length < 1e-9:  # as near as doubles come
+                return weights
+        weights, (value, slope, curve) = there, found
+    return weights
 
 
 def fitted(
     docs: DataFrame,
     labels: DataFrame,
     targets: dict[str, float] = TARGETS,
-    steps: int = STEPS,
 ) -> tuple[dict[str, Column], Column]:
     """The probability of each domain on measured() documents, and the rate on those of known().
 
@@ -149,24 +182,16 @@ def fitted(
     if not learned or not total or not weight:
         return every, F.lit(1.0)
 
-    # Each domain's equation is scaled to unit length; the products of the equations, a table of the
-    # number of domains squared, then bound how long a step may be.
-    raw = [F.col("tokens") * F.col(f"p_{one}") for one in learned]
-    products = given.agg(*[F.sum(a * b) for a in raw for b in raw]).head()
-    gram = np.array(products, float).reshape(len(learned), len(learned))
-    scale = [1 / math.sqrt(s) if s > 0 else 0.0 for s in gram.diagonal()]
-    longest = float(np.linalg.eigvalsh(gram * np.outer(scale, scale)).max()) or 1.0
-    owned = [F.lit(c) * F.col("tokens") * F.col(f"p_{one}") for one, c in zip(learned, scale)]
-    wanted = [total * targets.get(one, 0) / weight * c for one, c in zip(learned, scale)]
-    taken: list[list[float]] = []
-    for _ in range(steps):
-        rate = _rate(owned, taken)
-        sums = given.agg(*[F.sum(rate * a) for a in owned]).head()
-        gap = [s - w for s, w in zip(sums, wanted)]
-        if all(abs(g) <= CLOSE * w for g, w in zip(gap, wanted)):
-            break
-        taken.append([g / longest for g in gap])
-    return every, _rate(owned, taken)
+    # Each domain's equation is scaled to unit length; a domain without tokens has none.
+    raw = {one: F.col("tokens") * F.col(f"p_{one}") for one in learned}
+    squares = given.agg(*[F.sum(a * a) for a in raw.values()]).head()
+    scale = {one: 1 / math.sqrt(s) for one, s in zip(learned, squares) if s > 0}
+    owned = [F.lit(c) * raw[one] for one, c in scale.items()]
+    shares = {one: targets.get(one, 0) / weight for one in scale}
+    least = min((share for share in shares.values() if share > 0), default=1.0)
+    wanted = np.array([total * shares[one] * c for one, c in scale.items()])
+    close = np.array([CLOSE * total * least * c for c in scale.values()])
+    return every, _rate(owned, weights_of(given, owned, wanted, close))
 
 
 def known(docs: DataFrame, chances: dict[str, Column]) -> DataFrame:

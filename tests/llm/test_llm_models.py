@@ -183,3 +183,19 @@ def test_transcripts_with_gaps(spark):
     assert {row["role_pred"] for row in blank} == {None}
     assert chat.transcripts(turns.limit(0)).count() == 0
     assert chat.marked("[Human] : a") [0] == 0 or chat.marked("Human: a") == (2, "a")
+
+
+def shares_of(rows, targets):
+    """Expected tokens of each domain, by the rates, as shares of all tokens."""
+    total = sum(row["tokens"] for row in rows)
+    return {
+        one: sum(row["rate"] * row["tokens"] * row[f"p_{one}"] for row in rows) / total
+        for one in targets
+    }
+
+
+def test_mixture_meets_each_target(spark, table):
+    for targets in (mixing.TARGETS, {"plain": 0.1, "good": 0.85, "toxic": 0.05}):
+        rows = mixing.rates(table("documents"), table("labels"), targets=targets).collect()
+        found = shares_of(rows, targets)
+        assert all(found[one] == pytest.approx(share, rel=0.01) for one, share in targets.items())
