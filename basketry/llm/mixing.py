@@ -1,17 +1,22 @@
 """Mixing documents so that the tokens of each domain come to given weights.
 
 Domains are soft: a classifier learned from the labels gives each document a probability for each
-domain. It is a naive Bayes classifier with normal densities over a few rates of the text; means, and
-the variances that all domains share, come from one aggregate over the labelled documents. A document's tokens (its words) belong
-to the domains by these probabilities.
+domain. It is a naive Bayes classifier of two kinds of facts. One is the words: for the distinct words
+of the labelled documents the documents of each domain are counted, and of those whose counts differ
+more than chance explains (at most VOCABULARY, the most telling first) the log-likelihood ratios for
+each domain are kept. A document's evidence for a domain is the sum over its own words of the ratios
+above zero. Words go together, so the sum is not taken at its face: it is put into one of BINS bins,
+and how often each domain's examples fall into a bin is learned. The other kind are a few rates of the
+text with normal densities; means, and the variances that all domains share, come from one aggregate
+over the labelled documents. A document's tokens (its words) belong to the domains by these
+probabilities.
 
 Each document gets a rate, zero or more: how often it is expected in the mixture. Of all rates that
 give each domain its target, these are the nearest to one (in squares); where none do, those that
 come nearest to the targets. Such a rate is one less a weighted sum of the document's tokens of each
 domain, or zero, so what is looked for is one weight per domain. Newton steps on these (the problem's
 dual, which is convex) end when the optimality condition holds, each domain within CLOSE; a step
-needs a few sums over all documents. No rates are stored, the plan does not grow with the steps, and
-in the end no join is needed.
+needs a few sums over all documents. No rates are stored, and the plan does not grow with the steps.
 
 All of it is DataFrame expressions; what comes to the driver has the size of the number of domains.
 
@@ -38,6 +43,10 @@ TARGETS = {"plain": 0.05, "good": 0.9, "toxic": 0.05}
 CLOSE = 1e-4  # of the least target above zero
 RIDGE = 1e-8  # keeps the weights finite where no rates give the targets
 LEAST_VARIANCE = 1e-6
+# Words that tell domains apart: how unlikely by chance (twice the log-likelihood ratio), how many.
+TELLING = 20.0
+VOCABULARY = 1 << 16
+BINS = 6
 
 
 def features(text: Column) -> dict[str, Column]:
@@ -68,37 +77,118 @@ def domain(quality: Column, toxic: Column) -> Column:
     )
 
 
+def words_of(text: Column) -> Column:
+    """The hashes of a text's distinct words, in lower case and without punctuation marks."""
+    words = F.split(F.lower(text), r"""[ \t-\r.,;:!?"'()]+""")
+    return F.array_distinct(F.transform(words, lambda word: F.xxhash64(word)))
+
+
+def row_of(text: Column) -> Column:
+    """What tells texts of the same id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def measured(docs: DataFrame) -> DataFrame:
-    """(doc, tokens, x_<feature>): each row as a struct, and what the classifier sees of it."""
+    """(doc_id, row, copies, tokens, x_<feature>): of each id and text, what is seen of it."""
     text = F.coalesce("text", F.lit(""))
     words = F.size(F.filter(F.split(text, "[ \t-\r]+"), lambda word: word != ""))
-    return docs.select(
-        F.struct(*docs.columns).alias("doc"),
+    facts = docs.select(
+        "doc_id",
+        row_of(F.col("text")).alias("row"),
         words.cast("long").alias("tokens"),
         *[x.cast("double").alias(f"x_{name}") for name, x in features(text).items()],
     )
+    same = [c for c in facts.columns if c not in ("doc_id", "row")]
+    return facts.groupBy("doc_id", "row").agg(
+        F.count("*").alias("copies"), *[F.max(c).alias(c) for c in same]
+    )
+
 
+def domains_of(labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of the labelled documents."""
+    return labels.groupBy("doc_id").agg(domain(F.max("quality"), F.max("toxic")).alias("domain"))
 
-def densities(facts: DataFrame, labels: DataFrame) -> dict[str, dict[str, float]]:
-    """Per domain its share of the examples, and mean and variance of each feature."""
+
+def vocabulary(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """(word, for_<domain>): the ratios of the words that tell domains apart."""
+    given = docs.where("text is not null").join(labelled, "doc_id")
+    sizes = {one: F.sum(F.when(F.col("domain") == one, 1).otherwise(0)) for one in DOMAINS}
+    examples = given.agg(*[n.alias(one) for one, n in sizes.items()]).head().asDict()
+    examples = {one: float(n or 0) for one, n in examples.items()}
+    total = sum(examples.values())
+    counts = (
+        given.select("domain", F.explode(words_of(F.col("text"))).alias("word"))
+        .groupBy("word")
+        .agg(F.count("*").alias("n"), *[n.alias(one) for one, n in sizes.items()])
+    )
+    n, gains, ratios = F.col("n"), [], []
+    for one, size in examples.items():
+        own, rest = F.col(one), total - size
+        # Documents of the domain and the others, with the word and without.
+        cells = [(own, n, size), (n - own, n, rest)]
+        cells += [(size - own, total - n, size), (rest - n + own, total - n, rest)]
+        gain = F.lit(0.0)
+        for seen, of, among in cells:
+            part = seen * F.log(seen * F.lit(total) / (of * F.lit(among)))
+            gain = gain + F.when(seen > 0, 2 * part).otherwise(0.0)
+        # Towards the share of the word in all documents by the weight of one document.
+        share = n / F.lit(total)
+        ratio = F.log((own + share) / F.lit(size + 1) / ((n - own + share) / F.lit(rest + 1)))
+        gains.append(gain)
+        ratios.append(F.when((gain >= TELLING) & (ratio > 0), ratio).otherwise(0.0).alias(f"for_{one}"))
+    telling = counts.select("word", F.greatest(*gains).alias("gain"), *ratios)
+    telling = telling.where(F.col("gain") >= TELLING)
+    return telling.orderBy(F.desc("gain"), "word").limit(VOCABULARY).drop("gain")
+
+
+def evident(facts: DataFrame, docs: DataFrame, words: DataFrame) -> DataFrame:
+    """The facts with bin_<domain>: how much the document's words speak for each domain."""
+    sums = (
+        docs.where("text is not null")
+        .select("doc_id", row_of(F.col("text")).alias("row"), F.explode(words_of(F.col("text"))).alias("word"))
+        .join(F.broadcast(words), "word")  # at most VOCABULARY rows
+        .groupBy("doc_id", "row")
+        .agg(*[F.sum(f"for_{one}").alias(f"for_{one}") for one in DOMAINS])
+        .withColumnsRenamed({"doc_id": "of_id", "row": "of_row"})
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("row") == F.col("of_row"))
+    bins = []
+    for one in DOMAINS:
+        # Each row of an id and text adds the same words once more.
+        x = F.col(f"for_{one}") / F.col("copies")
+        bin_ = F.greatest(F.lit(1), F.least(F.lit(BINS - 1), F.floor(F.log2(x)) + 2))
+        bins.append(F.when(x > 0, bin_).otherwise(0).cast("int").alias(f"bin_{one}"))
+    return facts.join(sums, same, "left").select(*facts.columns, *bins)
+
+
+def densities(facts: DataFrame, labelled: DataFrame) -> dict[str, dict[str, float]]:
+    """Per domain its share of the examples, mean and variance of each feature, shares of the bins."""
     names = [c for c in facts.columns if c.startswith("x_")]
-    labelled = labels.groupBy("doc_id").agg(
-        domain(F.max("quality"), F.max("toxic")).alias("domain")
+    bins = [(c, k) for c in facts.columns if c.startswith("bin_") for k in range(BINS)]
+    # Each row is an example, and so are repeated ones.
+    examples = facts.join(labelled, "doc_id").withColumn(
+        "one", F.explode(F.sequence(F.lit(1), F.col("copies")))
     )
     moments = [F.avg(c).alias(f"mean_{c}") for c in names]
     moments += [F.var_pop(c).alias(f"var_{c}") for c in names]
-    found = (
-        facts.join(labelled, F.col("doc.doc_id") == F.col("doc_id")).groupBy("domain").agg(F.count("*").alias("n"), *moments)
-    ).collect()
+    moments += [F.sum((F.col(c) == k).cast("int")).alias(f"{c}_{k}") for c, k in bins]
+    found = examples.groupBy("domain").agg(F.count("*").alias("n"), *moments).collect()
     total = sum(row["n"] for row in found)
     # Domains share their variances: where their means are alike, the shares decide.
     pooled = {
         f"var_{c}": sum(row["n"] * row[f"var_{c}"] for row in found) / total for c in names if total
     }
-    return {row["domain"]: {**row.asDict(), **pooled, "share": row["n"] / total} for row in found}
+    model = {}
+    for row in found:
+        shares = {}
+        for c, k in bins:
+            usual = (sum(other[f"{c}_{k}"] for other in found) + 1) / (total + BINS)
+            shares[f"{c}_{k}"] = (row[f"{c}_{k}"] + usual) / (row["n"] + 1)
+        model[row["domain"]] = {**row.asDict(), **pooled, **shares, "share": row["n"] / total}
+    return model
 
 
-def posteriors(names: list[str], model: dict[str, dict[str, float]]) -> dict[str, Column]:
+def posteriors(names: list[str], bins: list[str], model: dict[str, dict[str, float]]) -> dict[str, Column]:
     """The probability of each domain, as an expression of the features."""
     scores = {}
     for one, known in model.items():
@@ -107,6 +197,9 @@ def posteriors(names: list[str], model: dict[str, dict[str, float]]) -> dict[str
             variance = max(known[f"var_{c}"], LEAST_VARIANCE)
             apart = F.col(c) - F.lit(known[f"mean_{c}"])
             score = score - apart * apart / (2 * variance)
+        for c in bins:
+            logs = F.array(*[F.lit(math.log(known[f"{c}_{k}"])) for k in range(BINS)])
+            score = score + F.get(logs, F.col(c))
         scores[one] = score
     highest = F.greatest(*scores.values()) if len(scores) > 1 else next(iter(scores.values()))
     weights = {one: F.exp(score - highest) for one, score in scores.items()}
@@ -158,29 +251,57 @@ def weights_of(given: DataFrame, owned: list[Column], wanted: np.ndarray, close:
     return weights
 
 
+def classified(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(doc_id, row, copies, tokens, p_<domain>) of each id and text, and the domains with examples."""
+    labelled = stored(domains_of(labels.select("doc_id", "quality", "toxic")), "domains")
+    facts = stored(measured(docs), "features")
+    words = stored(vocabulary(docs, labelled), "words")
+    facts = stored(evident(facts, docs, words), "evidence")
+    names = [c for c in facts.columns if c.startswith("x_")]
+    bins = [c for c in facts.columns if c.startswith("bin_")]
+    model = densities(facts, labelled)
+    chances = posteriors(names, bins, model) if model else {}
+    every = [chances.get(one, F.lit(0.0)).alias(f"p_{one}") for one in DOMAINS]
+    given = stored(facts.select("doc_id", "row", "copies", "tokens", *every), "posteriors")
+    return given, [one for one in DOMAINS if one in chances]
+
+
+def separation(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(domain, n, likeliest, p_<domain>) of every fourth labelled document, learned from the others.
+
+    likeliest: the share of the documents whose own domain has the highest probability.
+    """
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    given, _ = classified(docs, labels.where(~held))
+    highest = F.greatest(*[F.col(f"p_{one}") for one in DOMAINS])
+    own = F.coalesce(*[F.when(F.col("domain") == one, F.col(f"p_{one}")) for one in DOMAINS])
+    return (
+        given.join(domains_of(labels.where(held)), "doc_id")
+        .groupBy("domain")
+        .agg(
+            F.count("*").alias("n"),
+            F.avg((own == highest).cast("int")).alias("likeliest"),
+            *[F.avg(f"p_{one}").alias(f"p_{one}") for one in DOMAINS],
+        )
+    )
+
+
 def fitted(
     docs: DataFrame,
     labels: DataFrame,
     targets: dict[str, float] = TARGETS,
-) -> tuple[dict[str, Column], Column]:
-    """The probability of each domain on measured() documents, and the rate on those of known().
+) -> tuple[DataFrame, Column]:
+    """What classified() gives, and the rate on it.
 
     The targets are weights of the domains; together they stand for as many tokens as all documents
     have.
     """
-    facts = stored(measured(docs).withColumn("doc", F.struct("doc.doc_id")), "features")
-    names = [c for c in facts.columns if c.startswith("x_")]
-    model = densities(facts, labels.select("doc_id", "quality", "toxic"))
-    chances = posteriors(names, model) if model else {}
-    learned = [one for one in DOMAINS if one in chances]
-    every = {one: chances.get(one, F.lit(0.0)) for one in DOMAINS}
-    given = stored(
-        facts.select("tokens", *[chances[one].alias(f"p_{one}") for one in learned]), "posteriors"
-    )
+    known, learned = classified(docs, labels)
+    given = each_row(known)
     total = given.agg(F.sum("tokens").alias("n")).head()["n"] or 0
     weight = sum(targets.get(one, 0) for one in learned)
     if not learned or not total or not weight:
-        return every, F.lit(1.0)
+        return known, F.lit(1.0)
 
     # Each domain's equation is scaled to unit length; a domain without tokens has none.
     raw = {one: F.col("tokens") * F.col(f"p_{one}") for one in learned}
@@ -191,24 +312,20 @@ def fitted(
     least = min((share for share in shares.values() if share > 0), default=1.0)
     wanted = np.array([total * shares[one] * c for one, c in scale.items()])
     close = np.array([CLOSE * total * least * c for c in scale.values()])
-    return every, _rate(owned, weights_of(given, owned, wanted, close))
+    return known, _rate(owned, weights_of(given, owned, wanted, close))
 
 
-def known(docs: DataFrame, chances: dict[str, Column]) -> DataFrame:
-    """(doc, tokens, p_<domain>): each row as a struct, with its probabilities as columns."""
-    return measured(docs).select(
-        "doc", "tokens", *[chance.alias(f"p_{one}") for one, chance in chances.items()]
-    )
+def each_row(known: DataFrame) -> DataFrame:
+    """A row for each of the copies."""
+    each = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    return known.withColumn("copy", each).drop("copy")
 
 
 def rates(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """(doc_id, tokens, p_<domain>, rate) of documents (doc_id, text)."""
-    chances, rate = fitted(docs, labels, **options)
-    return known(docs, chances).select(
-        F.col("doc.doc_id").alias("doc_id"),
-        "tokens",
-        *[f"p_{one}" for one in chances],
-        rate.alias("rate"),
+    known, rate = fitted(docs, labels, **options)
+    return each_row(known).select(
+        "doc_id", "tokens", *[f"p_{one}" for one in DOMAINS], rate.alias("rate")
     )
 
 
@@ -218,11 +335,14 @@ def mixed(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     The whole part of the rate is taken as it is; for the rest a number drawn from the id and the text
     decides, the same in every run.
     """
-    chances, rate = fitted(docs, labels, **options)
+    known, rate = fitted(docs, labels, **options)
+    rated = known.select(F.struct("doc_id", "row").alias("key"), rate.alias("rate"))
     drawn = F.pmod(F.xxhash64(F.lit("mixture"), "doc.doc_id", "doc.text"), F.lit(1 << 30))
-    times = F.floor(rate + drawn / float(1 << 30)).cast("int")
+    times = F.floor(F.col("rate") + drawn / float(1 << 30)).cast("int")
+    given = docs.select(F.struct(*docs.columns).alias("doc"), row_of(F.col("text")).alias("row"))
+    same = F.col("doc.doc_id").eqNullSafe(F.col("key.doc_id")) & (F.col("row") == F.col("key.row"))
     return (
-        known(docs, chances)
+        given.join(rated, same)
         .withColumn("times", times)
         .where("times > 0")
         .select("doc", F.explode(F.sequence(F.lit(1), F.col("times"))))

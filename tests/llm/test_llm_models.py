@@ -199,3 +199,11 @@ def test_mixture_meets_each_target(spark, table):
         rows = mixing.rates(table("documents"), table("labels"), targets=targets).collect()
         found = shares_of(rows, targets)
         assert all(found[one] == pytest.approx(share, rel=0.01) for one, share in targets.items())
+
+
+def test_domains_are_told_by_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    found = {row["domain"]: row for row in mixing.separation(docs, labels).collect()}
+    assert found["toxic"]["p_toxic"] > 5 * found["good"]["p_toxic"]
+    assert found["toxic"]["likeliest"] > 0.5 and found["good"]["likeliest"] > 0.9
