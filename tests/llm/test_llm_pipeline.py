@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pytest
+
 import corpus_pipeline
-from basketry.llm import jaccard, quality, suffixes
+from basketry.llm import jaccard, mixing, quality, suffixes
 from basketry.llm.queries import QUERIES
 from basketry.llm.scratch import stored
 
@@ -38,3 +40,25 @@ def test_stages(spark):
     assert mixed.select("doc_id").distinct().count() >= 0.8 * cut.count()
     pieces = {row["doc_id"] for row in packed.collect()}
     assert pieces == {row["doc_id"] for row in mixed.collect()}
+
+
+def test_mixture_stage_meets_its_targets(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    targets = corpus_pipeline.TARGETS
+    assert targets == mixing.TARGETS and min(targets.values()) > 0
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs = stored(stage(spark, docs, SF_DIR), name)
+    rows = mixing.rates(docs, labels, targets=targets).collect()
+    total = sum(row["tokens"] for row in rows)
+    # The target of a domain that no labelled document is left of goes to the others.
+    left = [one for one in targets if any(row[f"p_{one}"] > 0 for row in rows)]
+    assert len(left) > 1
+    for one in left:
+        expected = sum(row["rate"] * row["tokens"] * row[f"p_{one}"] for row in rows)
+        share = targets[one] / sum(targets[other] for other in left)
+        assert expected == pytest.approx(share * total, rel=0.01)
+    mixed = corpus_pipeline.target_mixture(spark, docs, SF_DIR)
+    clean = labels.where("quality > 0 and coalesce(toxic, 0) = 0").select("doc_id").distinct()
+    kept = mixed.select("doc_id").distinct().join(clean, "doc_id").count()
+    assert kept >= 0.95 * docs.join(clean, "doc_id").count()
