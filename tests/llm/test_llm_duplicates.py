@@ -7,6 +7,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from basketry.llm import components, embeddings, jaccard, suffixes
@@ -212,3 +213,17 @@ def test_near_duplicate_vectors(spark):
     assert {k: row["component_id"] for k, row in found.items()} == of
     assert all(row["kept"] == (of[k] == k) for k, row in found.items())
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_segments_of_other_keys_are_not_equal(monkeypatch):
+    # Two segments whose content hashes collide and whose short runs differ.
+    def collided(data, offsets, length, hasher):
+        one = np.array([1, 1], np.int64)
+        key = np.array([5 << 40, 9 << 40], np.uint64)
+        return key, one.astype(np.uint64), one.astype(np.uint32), np.arange(2), one * 0, one
+
+    monkeypatch.setattr(suffixes, "segments", collided)
+    batch = pa.record_batch([pa.array([1, 2]), pa.array(["a" * 50, "b" * 50])], ["doc_id", "text"])
+    (dealt,) = suffixes._dealt(50, 6)([batch])
+    gone = [x for x in dealt.column("gone").to_pylist() if x]
+    assert not any(np.frombuffer(x, np.int64).size for x in gone)
