@@ -42,7 +42,7 @@ def op4_soft_domain_mixing(spark, sf_dir):
 
 
 def op5_suffix_dedup(spark, sf_dir):
-    kept = suffixes.without_repeats(table(spark, sf_dir, "documents"))
+    kept = suffixes.each_without_repeats(table(spark, sf_dir, "documents"))
     return kept.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 

@@ -227,3 +227,20 @@ def test_segments_of_other_keys_are_not_equal(monkeypatch):
     (dealt,) = suffixes._dealt(50, 6)([batch])
     gone = [x for x in dealt.column("gone").to_pylist() if x]
     assert not any(np.frombuffer(x, np.int64).size for x in gone)
+
+
+def test_rows_of_an_id_with_other_texts(spark):
+    rng = random.Random(4)
+    a, b, c = ("".join(rng.choice("abcdefgh") for _ in range(120)) for _ in range(3))
+    rows = [(1, a), (2, "A" + a + b), (2, "B" + c * 2), (2, "B" + c * 2), (3, b), (3, b), (None, a)]
+    rows += [(4, c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cut = sorted((r["doc_id"] or 0, r["text"]) for r in suffixes.cut_documents(docs).collect())
+    # The other text of 2 is no document: it stays whole, and 4 keeps what only it has.
+    expected = [(0, a), (1, a), (2, "A" + b), (2, "B" + c * 2), (2, "B" + c * 2), (3, ""), (3, "")]
+    assert cut == [*expected, (4, c)]
+    each = suffixes.each_without_repeats(docs).collect()
+    assert sorted((r["doc_id"] or 0, bytes(r["kept"]).decode()) for r in each) == cut
+    # Repeated rows are each returned, with and without such an id elsewhere.
+    some = suffixes.each_without_repeats(docs.where("doc_id in (1, 3)"))
+    assert sorted(r["doc_id"] for r in some.collect()) == [1, 3, 3]
