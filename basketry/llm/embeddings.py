@@ -9,8 +9,10 @@ Keys that more than BLOCK vectors share are compared block against block, so tha
 blocks at most; pairs are counted where they are found, and only as many links leave a task as hold
 its vectors together.
 
-Vectors that are null, zero, or hold null or non-finite components, link with nothing; so do vectors
-of other lengths than the first found, and rows with a null id. Rows with the same id are not
+Vectors are compared with those of their own length; the length is part of each key.
+
+Vectors that are null, empty or zero, or hold null or non-finite components, link with nothing; so do
+rows with a null id. Rows with the same id are not
 compared with each other; links are counted to rows with other ids. An empty table gives an empty
 result. Other columns are ignored.
 """
@@ -29,45 +31,50 @@ BITS, TABLES, BLOCK = 12, 32, 1024
 THRESHOLD = 0.9
 
 
-def unit_vectors(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The vectors of a column at length one, and which rows they are from."""
-    rows, vectors = [], []
+def unit_vectors(column: pa.Array):
+    """By length: (length, the vectors of a column at length one, which rows they are from)."""
+    found: dict[int, list] = {}
     for at, values in enumerate(column):
-        if values.is_valid and len(values.values) == size and not values.values.null_count:
-            rows.append(at)
-            vectors.append(values.values.to_numpy(zero_copy_only=False))
-    if not rows:
-        return np.zeros((0, size)), np.zeros(0, np.int64)
-    table = np.stack(vectors).astype(np.float64)
-    rows = np.array(rows, np.int64)
-    finite = np.isfinite(table).all(axis=1)
-    table, rows = table[finite], rows[finite]
-    # Scaled first, so that squares of very large or small components stay in range.
-    largest = np.abs(table).max(axis=1)
-    table, rows, largest = table[largest > 0], rows[largest > 0], largest[largest > 0]
-    table = table / largest[:, None]
-    return table / np.sqrt((table * table).sum(axis=1))[:, None], rows
-
-
-def _keys(size: int, bits: int, tables: int, seed: int):
+        if values.is_valid and len(values.values) and not values.values.null_count:
+            own = found.setdefault(len(values.values), [])
+            own.append((at, values.values.to_numpy(zero_copy_only=False)))
+    for size, some in found.items():
+        table = np.stack([values for _, values in some]).astype(np.float64)
+        rows = np.array([at for at, _ in some], np.int64)
+        finite = np.isfinite(table).all(axis=1)
+        table, rows = table[finite], rows[finite]
+        # Scaled first, so that squares of very large or small components stay in range.
+        largest = np.abs(table).max(axis=1)
+        table, rows, largest = table[largest > 0], rows[largest > 0], largest[largest > 0]
+        table = table / largest[:, None]
+        yield size, table / np.sqrt((table * table).sum(axis=1))[:, None], rows
+
+
+def _keys(bits: int, tables: int, seed: int):
     def run(batches):
-        planes = np.random.default_rng(seed).standard_normal((size, bits * tables))
+        planes: dict[int, np.ndarray] = {}
         weights = 1 << np.arange(bits)
         for batch in batches:
-            units, rows = unit_vectors(batch.column("embedding"), size)
-            ids = batch.column("vec_id").take(pa.array(rows))
-            known = np.array(ids.is_valid().to_numpy(zero_copy_only=False), bool)
-            units, ids = units[known], ids.filter(pa.array(known))
-            signs = (units @ planes > 0).reshape(len(units), tables, bits)
-            keys = (signs * weights).sum(axis=2).astype(np.int32)
-            yield pa.record_batch(
-                [
-                    ids,
-                    pa.array([row.tobytes() for row in keys], pa.binary()),
-                    pa.array([row.tobytes() for row in units], pa.binary()),
-                ],
-                names=["vec_id", "keys", "unit"],
-            )
+            for size, units, rows in unit_vectors(batch.column("embedding")):
+                if size not in planes:
+                    if len(planes) == 8:
+                        planes.clear()
+                    drawn = np.random.default_rng(seed)
+                    planes[size] = drawn.standard_normal((size, bits * tables))
+                ids = batch.column("vec_id").take(pa.array(rows))
+                known = np.array(ids.is_valid().to_numpy(zero_copy_only=False), bool)
+                units, ids = units[known], ids.filter(pa.array(known))
+                signs = (units @ planes[size] > 0).reshape(len(units), tables, bits)
+                keys = (signs * weights).sum(axis=2).astype(np.int32)
+                yield pa.record_batch(
+                    [
+                        ids,
+                        pa.array(np.full(len(units), size, np.int32)),
+                        pa.array([row.tobytes() for row in keys], pa.binary()),
+                        pa.array([row.tobytes() for row in units], pa.binary()),
+                    ],
+                    names=["vec_id", "size", "keys", "unit"],
+                )
 
     return run
 
@@ -84,8 +91,9 @@ def _tables(tables: int):
                     pa.array(np.tile(np.arange(tables, dtype=np.int32), n)),
                     pa.array(keys),
                     batch.column("vec_id").take(pa.array(np.repeat(np.arange(n), tables))),
+                    batch.column("size").take(pa.array(np.repeat(np.arange(n), tables))),
                 ],
-                names=["table", "key", "vec_id"],
+                names=["table", "key", "vec_id", "size"],
             )
 
     return run
@@ -147,7 +155,7 @@ def _compared(threshold: float):
 
         for batch in batches:
             for row in batch.to_pylist():
-                group = (row["table"], row["key"], row["low"], row["high"])
+                group = (row["table"], row["size"], row["key"], row["low"], row["high"])
                 if group != now:
                     if len(waiting) > 1:
                         yield taken()
@@ -169,30 +177,29 @@ def near_duplicates(
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of vectors (vec_id, embedding)."""
     vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    some = vectors.where("embedding is not null").select(F.size("embedding").alias("n")).head()
-    size = some["n"] if some else 1
     keyed = stored(
         vectors.mapInArrow(
-            _keys(size, bits, tables, seed), "vec_id long, keys binary, unit binary"
+            _keys(bits, tables, seed), "vec_id long, size int, keys binary, unit binary"
         ),
         "keyed",
     )
-    entries = keyed.mapInArrow(_tables(tables), "table int, key int, vec_id long")
+    entries = keyed.mapInArrow(_tables(tables), "table int, key int, vec_id long, size int")
     # Only keys that several vectors share; their number says into how many blocks they go.
     shared = (
-        entries.groupBy("table", "key")
+        entries.groupBy("table", "size", "key")
         .agg(F.count("*").alias("n"))
         .where("n > 1")
-        .select("table", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+        .select("table", "size", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     )
     own = F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")
     each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = (
-        entries.join(shared, ["table", "key"])
+        entries.join(shared, ["table", "size", "key"])
         .withColumn("block", own)
         .withColumn("other", each)
         .select(
             "table",
+            "size",
             "key",
             F.least("block", "other").alias("low"),
             F.greatest("block", "other").alias("high"),
@@ -200,9 +207,9 @@ def near_duplicates(
             "vec_id",
         )
     )
-    groups = ["table", "key", "low", "high"]
+    groups = ["table", "size", "key", "low", "high"]
     compared = stored(
-        dealt.join(keyed, "vec_id")
+        dealt.join(keyed, ["vec_id", "size"])
         .repartition(*groups)
         .sortWithinPartitions(*groups)
         .mapInArrow(_compared(threshold), "vec_id long, n long, linked long"),

@@ -244,3 +244,29 @@ def test_rows_of_an_id_with_other_texts(spark):
     # Repeated rows are each returned, with and without such an id elsewhere.
     some = suffixes.each_without_repeats(docs.where("doc_id in (1, 3)"))
     assert sorted(r["doc_id"] for r in some.collect()) == [1, 3, 3]
+
+
+def test_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(8)
+    rows = [(0, [1.0, 2.0, 3.0]), (1, []), (2, [1.0, 2.0, 3.1])]
+    for k in range(10, 30):
+        rows.append((k, [float(x) for x in np.full(16, 1.0) + 0.01 * rng.standard_normal(16)]))
+    for first in (rows, rows[1:] + rows[:1]):
+        df = spark.createDataFrame(first, "vec_id long, embedding array<float>").coalesce(1)
+        found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_duplicates(df).collect()}
+        assert found == {0: (1, 0), 1: (0, 1), 2: (1, 0), **{k: (19, 10) for k in range(10, 30)}}
+
+
+def test_recall_of_the_tables_in_use(spark):
+    rng = np.random.default_rng(9)
+    n, rows = 2000, []
+    for k, cosine in enumerate(rng.uniform(0.9001, 0.905, n)):
+        a, b = rng.standard_normal((2, 64))
+        a /= np.linalg.norm(a)
+        b -= (a @ b) * a
+        b = cosine * a + np.sqrt(1 - cosine**2) * b / np.linalg.norm(b)
+        rows += [(2 * k, a.tolist()), (2 * k + 1, b.tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    links = embeddings.near_duplicates(df).where("n_links > 0 and kept").count()
+    print("recall", links / n)
+    assert links >= 0.985 * n
