@@ -5,8 +5,10 @@ gathered in quantile sketches per language and source: counts by logarithmic bin
 error of 1 % and a few hundred bins at most. Sketches are merged by adding counts, so that nothing
 depends on how rows are dealt out, and merged further, from sources to a language to all documents,
 where a source or language has too few documents of its own. A document is kept if each of its rates
-lies within the fences of its group: the quartiles, and beyond them REACH times their distance (at
-least the rate's least spread).
+lies within the fences of its group: the quartiles, and beyond them REACH times their distance, or
+TAIL_REACH times the distance from the quartile to where the group's own tail begins, whichever is
+more. Where the tail begins is the rate's own: symbols and long words come in whole kinds of documents,
+so a tenth of a group may be odd, repeats in single ones.
 
 Words are runs of characters other than blank and U+0009 to U+000D. Null text has no words and fails,
 as empty text does. Null languages and sources are groups of their own. Rows with the same id are
@@ -40,12 +42,14 @@ ERROR = 0.01
 GROWTH = (1 + ERROR) / (1 - ERROR)
 ZERO_BIN = -10_000  # rates under LEAST
 LEAST = 1e-6
-# Each rate, the least distance of its quartiles, and whether low values are odd too.
+TAIL_REACH = 2.0
+TINY = 0.01  # against groups without any spread
+# Each rate, the hundredths of a group that are its tail, and whether low values are odd too.
 RATES = {
-    "symbols": ("n_symbols / n_words", 0.05, False),
-    "dup_lines": ("n_dup_lines / n_lines", 0.15, False),
-    "repeat_words": ("n_repeat_words / n_words", 0.1, False),
-    "word_length": ("word_chars / n_words", 1.5, True),
+    "symbols": ("n_symbols / n_words", 10, False),
+    "dup_lines": ("n_dup_lines / n_lines", 2, False),
+    "repeat_words": ("n_repeat_words / n_words", 2, False),
+    "word_length": ("word_chars / n_words", 10, True),
 }
 
 
@@ -148,19 +152,31 @@ def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
     placed = sketch.select(
         *keys, "rate", value.alias("x"), F.sum("n").over(upto).alias("upto"), F.sum("n").over(group).alias("all")
     )
-    quartiles = placed.groupBy(*keys, "rate").agg(
+    tail = F.lit(0)
+    for name, (_, hundredths, _) in RATES.items():
+        tail = F.when(F.col("rate") == name, hundredths).otherwise(tail)
+
+    def quantile(hundredths):
+        return F.min(F.when(100 * F.col("upto") >= hundredths * F.col("all"), F.col("x")))
+
+    quartiles = placed.withColumn("tail", tail).groupBy(*keys, "rate").agg(
         F.max("all").alias("all"),
-        F.min(F.when(4 * F.col("upto") >= F.col("all"), F.col("x"))).alias("q1"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("all"), F.col("x"))).alias("q3"),
+        quantile(F.lit(25)).alias("q1"),
+        quantile(F.lit(75)).alias("q3"),
+        quantile(F.col("tail")).alias("low_tail"),
+        quantile(100 - F.col("tail")).alias("high_tail"),
     )
     ends = []
-    for name, (_, spread, both) in RATES.items():
-        reach = REACH * F.greatest(F.col("q3") - F.col("q1"), F.lit(spread))
+    for name, (_, _, both) in RATES.items():
+        least = F.greatest(REACH * (F.col("q3") - F.col("q1")), F.lit(TINY))
+        above = F.greatest(least, TAIL_REACH * (F.col("high_tail") - F.col("q3")))
+        below = F.greatest(least, TAIL_REACH * (F.col("q1") - F.col("low_tail")))
         this = F.col("rate") == name
-        low = F.col("q1") - reach if both else F.lit(float("-inf"))
+        low = F.col("q1") - below if both else F.lit(float("-inf"))
+        # A sketch knows values but for its error.
         ends += [
-            F.max(F.when(this, low)).alias(f"{name}_low"),
-            F.max(F.when(this, F.col("q3") + reach)).alias(f"{name}_high"),
+            F.max(F.when(this, low * (1 - ERROR))).alias(f"{name}_low"),
+            F.max(F.when(this, (F.col("q3") + above) * (1 + ERROR))).alias(f"{name}_high"),
         ]
     return quartiles.groupBy(*keys).agg(F.max("all").alias("documents"), *ends)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -207,3 +208,29 @@ def test_domains_are_told_by_words(spark):
     found = {row["domain"]: row for row in mixing.separation(docs, labels).collect()}
     assert found["toxic"]["p_toxic"] > 5 * found["good"]["p_toxic"]
     assert found["toxic"]["likeliest"] > 0.5 and found["good"]["likeliest"] > 0.9
+
+
+def test_each_rate_of_a_group_rejects(spark):
+    rng = random.Random(6)
+
+    def plain():
+        words = ["".join(rng.choice("abcdefgh") for _ in range(rng.choice([4, 5, 6]))) for _ in range(120)]
+        return [" ".join(words[k : k + 12]) for k in range(0, 120, 12)]
+
+    rows = [(k, "\n".join(plain())) for k in range(200)]
+    lines = plain()
+    odd = {
+        "symbols": "\n".join(line + " ###" for line in plain()),
+        "dup_lines": "\n".join(["a b", "a b", "c d", "c d", *plain()]),
+        # Less than the base rule's fifth of all words.
+        "repeat_words": "\n".join(lines + ["x " + lines[0][:]]),
+        "long": " ".join("".join(rng.choice("abcdefgh") for _ in range(11)) for _ in range(120)),
+        "short": " ".join(rng.choice("abcdefgh") + rng.choice("abcdefgh") for _ in range(120)),
+    }
+    rows += [(1000 + k, text) for k, text in enumerate(odd.values())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = docs.withColumns({"lang": F.lit("en"), "source": F.lit("s")})
+    found = {row["doc_id"]: row for row in quality.judged(docs).collect()}
+    assert not any(found[1000 + k]["base_failed"] for k in range(len(odd)))
+    assert [name for k, name in enumerate(odd) if found[1000 + k]["kept"]] == []
+    assert sum(found[k]["kept"] for k in range(200)) >= 196
