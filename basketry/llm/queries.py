@@ -10,6 +10,7 @@ from basketry.llm import (
     embeddings,
     jaccard,
     language,
+    licenses,
     mixing,
     packing,
     planes,
@@ -66,6 +67,10 @@ def op10_token_counts(spark, sf_dir):
     return counts.token_counts(table(spark, sf_dir, "documents"), tokens.default_path())
 
 
+def op13_license_signatures(spark, sf_dir):
+    return licenses.scanned(table(spark, sf_dir, "documents")).drop("detections")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_bit_plane_ids": op2_bit_plane_ids,
@@ -77,6 +82,7 @@ QUERIES = {
     "op8_chat_transcripts": op8_chat_transcripts,
     "op9_jaccard_components": op9_jaccard_components,
     "op10_token_counts": op10_token_counts,
+    "op13_license_signatures": op13_license_signatures,
 }
 
 ORACLES: dict[str, str] = {}
