@@ -15,6 +15,7 @@ from basketry.llm import (
     packing,
     planes,
     quality,
+    structure,
     suffixes,
     tokens,
 )
@@ -67,6 +68,11 @@ def op10_token_counts(spark, sf_dir):
     return counts.token_counts(table(spark, sf_dir, "documents"), tokens.default_path())
 
 
+def op12_structure_repair(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    return structure.digests(structure.damaged(turns), ids=turns, copies="copies")
+
+
 def op13_license_signatures(spark, sf_dir):
     return licenses.scanned(table(spark, sf_dir, "documents")).drop("detections")
 
@@ -82,6 +88,7 @@ QUERIES = {
     "op8_chat_transcripts": op8_chat_transcripts,
     "op9_jaccard_components": op9_jaccard_components,
     "op10_token_counts": op10_token_counts,
+    "op12_structure_repair": op12_structure_repair,
     "op13_license_signatures": op13_license_signatures,
 }
 
