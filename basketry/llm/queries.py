@@ -13,6 +13,7 @@ from basketry.llm import (
     licenses,
     mixing,
     packing,
+    phrases,
     planes,
     quality,
     structure,
@@ -68,6 +69,10 @@ def op10_token_counts(spark, sf_dir):
     return counts.token_counts(table(spark, sf_dir, "documents"), tokens.default_path())
 
 
+def op11_phrase_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_structure_repair(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     return structure.digests(structure.damaged(turns), ids=turns, copies="copies")
@@ -88,6 +93,7 @@ QUERIES = {
     "op8_chat_transcripts": op8_chat_transcripts,
     "op9_jaccard_components": op9_jaccard_components,
     "op10_token_counts": op10_token_counts,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_structure_repair": op12_structure_repair,
     "op13_license_signatures": op13_license_signatures,
 }
