@@ -24,9 +24,13 @@ def days_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", start, end) / F.lit(float(MICROS_PER_DAY))
 
 
-def settled_round(value: Column, digits: int) -> Column:
-    """Round half away from zero, first dropping the last-bit noise of a distributed sum."""
-    return F.round(F.round(value, 9), digits)
+def exact_ratio(part: Column, whole: Column, digits: int) -> Column:
+    """A ratio of whole numbers that are not negative, rounded half away from zero without error."""
+    scale = 10**digits
+    doubled = (2 * whole).cast("decimal(20,0)")
+    above = (part.cast("decimal(20,0)") * (2 * scale)).cast("decimal(30,0)") + whole
+    steps = F.call_function("div", above.cast("decimal(38,0)"), F.nullif(doubled, F.lit(0)))
+    return steps / F.lit(float(scale))
 
 
 def half_even(value: Column, digits: int) -> Column:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.functions.calendar import days_between
 from basketry.functions.money import amount, fine_units, to_cents
+from basketry.operators.bits import bit_words, members, word_names
 from basketry.sources.model import Tables
 
 PURCHASED = "order_purchase_timestamp"
@@ -41,38 +44,63 @@ def cleaned_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def payments_by_order(payments: DataFrame) -> DataFrame:
-    """Payment cents and sorted distinct methods per order, for orders of any status.
+def method_names(payments: DataFrame) -> list[str]:
+    """The distinct payment methods in order: a list of names, whatever the number of payments."""
+    rows = payments.select("payment_type").where("payment_type is not null").distinct().collect()
+    return sorted((row.payment_type for row in rows), key=str.encode)
+
 
-    One grouping computes both. A plan that uses only the cents has the set pruned by
-    Catalyst and then runs as a plain hash aggregate.
+def payments_by_order(payments: DataFrame, methods: Sequence[str] | None = None) -> DataFrame:
+    """Payment cents per order, for orders of any status, and its distinct methods in order.
+
+    The methods are a set of bits over `methods`, which names them all; without it the column is
+    left out. One grouping computes both, in a hash aggregate with buffers of fixed size.
     """
-    fine = payments.select(
-        "order_id", "payment_type", fine_units(payments, "payment_value").alias("fine")
+    fine = fine_units(payments, "payment_value").alias("fine")
+    if methods is None:
+        return payments.select("order_id", fine).groupBy("order_id").agg(
+            to_cents(F.sum("fine")).alias("payment_cents")
+        )
+    domain = F.array(*[F.lit(name) for name in methods]).cast("array<string>")
+    names = word_names("methods", len(methods))
+    number = F.array_position(domain, F.col("payment_type")) - 1
+    words = bit_words(number, len(methods))
+    coded = payments.select(
+        "order_id", fine, *[word.alias(name) for word, name in zip(words, names)]
     )
-    distinct = F.collect_set("payment_type")
-    methods = F.when(F.size(distinct) > 0, F.array_join(F.array_sort(distinct), ","))
-    return fine.groupBy("order_id").agg(
-        to_cents(F.sum("fine")).alias("payment_cents"),
-        methods.alias("payment_method"),
+    grouped = coded.groupBy("order_id").agg(
+        F.sum("fine").alias("fine"), *[F.bit_or(name).alias(name) for name in names]
+    )
+    used = F.transform(
+        members([F.col(name) for name in names], len(methods)), lambda at: F.get(domain, at)
+    )
+    some = F.lit(False)
+    for name in names:
+        some = some | (F.col(name) != 0)
+    return grouped.select(
+        "order_id",
+        to_cents(F.col("fine")).alias("payment_cents"),
+        F.when(some, F.array_join(used, ",")).alias("payment_method"),
     )
 
 
 def order_payment_totals(payments: DataFrame) -> DataFrame:
     """The published form of :func:`payments_by_order`."""
-    return payments_by_order(payments).select(
+    return payments_by_order(payments, method_names(payments)).select(
         "order_id", amount(F.col("payment_cents")).alias("payment_value"), "payment_method"
     )
 
 
-def deliveries(t: Tables) -> DataFrame:
+def deliveries(t: Tables, with_methods: bool = False) -> DataFrame:
     """Clean deliveries with what was paid for each; `paid` is null without a payment row.
 
-    The relation most reports start from: one row per order, two exchanges by order id.
+    The relation most reports start from: one row per order, two exchanges by order id. The
+    methods are coded only where they are asked for, since their names have to be known first.
     """
     if DELIVERIES in t.stored:
         return t.stored[DELIVERIES]
-    payments = payments_by_order(t.order_payments).withColumn("paid", F.lit(True))
+    names = method_names(t.order_payments) if with_methods else None
+    payments = payments_by_order(t.order_payments, names).withColumn("paid", F.lit(True))
     return cleaned_orders(t.orders).join(payments, "order_id", "left")
 
 
@@ -81,9 +109,9 @@ def clean_deliveries(t: Tables) -> DataFrame:
     return t.stored[DELIVERIES] if DELIVERIES in t.stored else cleaned_orders(t.orders)
 
 
-def paid_deliveries(t: Tables) -> DataFrame:
+def paid_deliveries(t: Tables, with_methods: bool = False) -> DataFrame:
     """Clean deliveries with a payment row; Catalyst turns the left join into an inner one."""
-    return deliveries(t).where("paid")
+    return deliveries(t, with_methods).where("paid")
 
 
 def item_cents(items: DataFrame) -> Column:

@@ -40,6 +40,50 @@ def key_ledger(
     return union.groupBy(key).agg(*[F.sum(name).alias(name) for name in names])
 
 
+def joint_ledger(
+    entries: Mapping[str, tuple[DataFrame, Mapping[str, tuple[Column, Mapping[str, Column]]]]],
+) -> DataFrame:
+    """Several ledgers at once, each source scanned once: one row per relation and key.
+
+    `entries` names for each source the relations it has a part in: the key of a row there, and the
+    counts that it adds. A source with two keys gives two entries per row, within its scan. Counts
+    of single rows ride along as counts of any of its relations.
+    """
+    counts = sorted(
+        {name for _, parts in entries.values() for _, marks in parts.values() for name in marks}
+    )
+
+    def entry(relation: str, key: Column, marks: Mapping[str, Column]) -> Column:
+        columns = [
+            F.coalesce(marks[name].cast("bigint"), F.lit(0)) if name in marks else F.lit(0)
+            for name in counts
+        ]
+        return F.struct(
+            F.lit(relation).alias("relation"),
+            key.cast("string").alias("key"),
+            *[column.cast("bigint").alias(name) for column, name in zip(columns, counts)],
+        )
+
+    union = reduce(
+        DataFrame.unionByName,
+        [
+            source.select(
+                F.inline(F.array(*[entry(name, *part) for name, part in parts.items()]))
+            )
+            for source, parts in entries.values()
+        ],
+    )
+    return union.groupBy("relation", "key").agg(*[F.sum(name).alias(name) for name in counts])
+
+
+def unmatched_in(relation: str, rows: str, target: str) -> Column:
+    """Rows of a joint ledger whose key is null or not among the target's keys."""
+    missing = F.col("key").isNull() | (F.col(target) == 0)
+    return F.coalesce(
+        F.sum(F.when((F.col("relation") == relation) & missing, F.col(rows))), F.lit(0)
+    )
+
+
 def unmatched(key: str, rows: str, target: str) -> Column:
     """Rows whose key is null or not among the target's keys, summed over a ledger."""
     missing = F.col(key).isNull() | (F.col(target) == 0)

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
-from basketry.plans import cohorts, reports, rfm
+from basketry.plans import overview
 from basketry.sources.model import Tables
 
 SCHEMA_VERSION = 1
@@ -43,6 +41,20 @@ def _combined(parts: list[DataFrame]) -> Column:
     return F.struct(*[part.scalar().alias(part.columns[0]) for part in parts])
 
 
+def _document(
+    business: Column, retention: Column, reconciliation: Column, segments: Column
+) -> Column:
+    """The JSON text; keys are in order at every level."""
+    document = F.struct(
+        business.alias("business_queries"),
+        retention.alias("cohort_retention"),
+        reconciliation.alias("revenue_reconciliation"),
+        segments.alias("rfm_segments"),
+        F.lit(SCHEMA_VERSION).alias("schema_version"),
+    )
+    return F.to_json(document, {"ignoreNullFields": "false"}).alias("analysis_summary")
+
+
 def analysis_bundle(
     business: dict[str, DataFrame],
     segments: DataFrame,
@@ -67,25 +79,37 @@ def analysis_bundle(
         _records(business[name], name, *orders[name]) for name in sorted(business)
     ]
     totals = _plain(reconciliation)
-    document = F.struct(
-        _combined(reports_part).alias("business_queries"),
-        _records(retention, "rows", F.col("cohort_month"), F.col("cohort_index"))
-        .scalar()
-        .alias("cohort_retention"),
-        totals.select(F.struct(*totals.columns)).scalar().alias("revenue_reconciliation"),
-        _records(segments, "rows", F.col("segment")).scalar().alias("rfm_segments"),
-        F.lit(SCHEMA_VERSION).alias("schema_version"),
-    )
     one_row = reconciliation.sparkSession.range(1)
-    options = {"ignoreNullFields": "false"}
-    return one_row.select(F.to_json(document, options).alias("analysis_summary"))
+    return one_row.select(
+        _document(
+            _combined(reports_part),
+            _records(retention, "rows", F.col("cohort_month"), F.col("cohort_index")).scalar(),
+            totals.select(F.struct(*totals.columns)).scalar(),
+            _records(segments, "rows", F.col("segment")).scalar(),
+        )
+    )
 
 
 def bundle_of(t: Tables) -> DataFrame:
-    """The bundle computed straight from the tables."""
-    return analysis_bundle(
-        {name: report(t) for name, report in reports.BUSINESS_REPORTS.items()},
-        rfm.rfm_segments(rfm.rfm_customers(t)),
-        cohorts.cohort_retention(t),
-        reports.revenue_reconciliation(t),
+    """The bundle computed straight from the tables, each of which is read once."""
+    parts = overview.all_reports(t)
+    rows = t.orders.sparkSession.range(1).select(
+        *[part.select(F.struct(*part.columns)).scalar().alias(name) for name, part in parts.items()]
+    )
+    homes = {
+        "monthly_revenue": "deliveries",
+        "payment_method": "deliveries",
+        "delivery_performance": "deliveries",
+        "delivery_by_state": "deliveries",
+        "review_quality_by_state": "reviews",
+        "revenue_by_category": "items",
+    }
+    business = [F.col(f"{homes[name]}.{name}").alias(name) for name in sorted(homes)]
+    return rows.select(
+        _document(
+            F.struct(*business),
+            F.col("retention.cohort_retention"),
+            F.col("items.reconciliation"),
+            F.col("segments.rfm_segments"),
+        )
     )

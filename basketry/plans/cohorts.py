@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from basketry.functions.calendar import half_even, month_number, month_text
+from basketry.operators.bits import bit_words, members, word_names
 from basketry.operators.cleaning import PURCHASED, clean_deliveries
 from basketry.sources.model import Tables
 
@@ -27,28 +28,54 @@ def purchase_months(t: Tables) -> DataFrame:
     )
 
 
+def month_span(t: Tables) -> tuple[int, int]:
+    """The first month with a clean delivery, and how many months there are to the last one."""
+    month = month_number(F.col(PURCHASED))
+    found = clean_deliveries(t).agg(F.min(month).alias("first"), F.max(month).alias("last")).first()
+    return (0, 0) if found.first is None else (found.first, found.last - found.first + 1)
+
+
+def months_of(rows: DataFrame, key: str, span: tuple[int, int]) -> DataFrame:
+    """The months of each key as bits over the span, from (key, month) rows."""
+    names = word_names("months", span[1])
+    words = bit_words(F.col("month") - span[0], span[1])
+    coded = rows.select(key, *[word.alias(name) for word, name in zip(words, names)])
+    return merged_months(coded, key, span)
+
+
+def merged_months(coded: DataFrame, key: str, span: tuple[int, int]) -> DataFrame:
+    return coded.groupBy(key).agg(
+        *[F.bit_or(name).alias(name) for name in word_names("months", span[1])]
+    )
+
+
+def active_months(coded: DataFrame, span: tuple[int, int]) -> DataFrame:
+    """(customer_unique_id, cohort, months) of persons with their months as bits."""
+    words = [F.col(name) for name in word_names("months", span[1])]
+    months = F.transform(members(words, span[1]), lambda at: at + span[0])
+    return coded.select("customer_unique_id", months.alias("months")).select(
+        "customer_unique_id", F.get("months", F.lit(0)).alias("cohort"), "months"
+    )
+
+
 def _months_by_person(t: Tables) -> DataFrame:
-    """Distinct active months of each person, as a set of month numbers.
+    """Distinct active months of each person, and the first of them.
 
-    A set never outgrows the calendar, so neither a customer id nor a person with a large
-    share of the orders makes a large group; both groupings combine on the map side.
+    Months are bits over the span of all months, one word for each 63, so that neither a customer
+    id nor a person with a large share of the orders makes a large group; both groupings combine on
+    the map side in buffers of fixed size.
     """
-    by_customer = (
-        clean_deliveries(t)
-        .select("customer_id", month_number(F.col(PURCHASED)).alias("month"))
-        .where(F.col("month").isNotNull())
-        .groupBy("customer_id")
-        .agg(F.collect_set("month").alias("months"))
+    span = month_span(t)
+    by_customer = months_of(
+        clean_deliveries(t).select("customer_id", month_number(F.col(PURCHASED)).alias("month")),
+        "customer_id",
+        span,
     )
     persons = t.customers.select("customer_id", "customer_unique_id").where(
         F.col("customer_unique_id").isNotNull()
     )
-    return (
-        by_customer.join(persons, "customer_id")
-        .select("customer_unique_id", F.explode("months").alias("month"))
-        .groupBy("customer_unique_id")
-        .agg(F.min("month").alias("cohort"), F.collect_set("month").alias("months"))
-    )
+    joined = by_customer.join(persons, "customer_id")
+    return active_months(merged_months(joined, "customer_unique_id", span), span)
 
 
 def _activity(t: Tables) -> DataFrame:
@@ -86,13 +113,18 @@ def cohort_sizes(t: Tables) -> DataFrame:
 
 
 def cohort_retention(t: Tables) -> DataFrame:
-    """Active persons and retention rate per cohort and month distance.
+    """Active persons and retention rate per cohort and month distance."""
+    return retention_of(_months_by_person(t))
+
+
+def retention_of(persons: DataFrame) -> DataFrame:
+    """The retention of persons with their months (see :func:`active_months`).
 
     Everyone is active in the first month, so the cohort's size is its count at distance
     zero. The window runs over counts, at most one per pair of calendar months.
     """
     counts = (
-        _activity(t)
+        persons.select("cohort", F.explode("months").alias("month"))
         .groupBy("cohort", (F.col("month") - F.col("cohort")).alias("cohort_index"))
         .agg(F.count("*").alias("active_customers"))
     )

@@ -6,9 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from basketry.operators.audit import key_audit
+from basketry.operators.audit import repeated_keys
 from basketry.operators.cleaning import DELIVERED, ESTIMATED, PURCHASED, is_clean_delivery
-from basketry.operators.ledger import key_ledger, unmatched
+from basketry.operators.ledger import joint_ledger, key_ledger, unmatched, unmatched_in
 from basketry.sources.model import MODEL, Tables
 
 # Check names and the two that only warn.
@@ -33,85 +33,105 @@ WARNING_CHECKS = (
 )
 
 
-def _order_checks(t: Tables) -> DataFrame:
-    """All checks that relate rows to orders, in one exchange by order id."""
-    key = "order_id"
-    ledger = key_ledger(
-        key,
-        {
-            "orders": t.orders,
-            "items": t.order_items,
-            "payments": t.order_payments,
-            "reviews": t.order_reviews,
-        },
-        subsets={"deliveries": ("orders", is_clean_delivery())},
-    )
-    return ledger.agg(
-        unmatched(key, "items", "orders").alias("order_items_missing_order"),
-        unmatched(key, "payments", "orders").alias("payments_missing_order"),
-        unmatched(key, "reviews", "orders").alias("reviews_missing_order"),
-        unmatched(key, "deliveries", "payments").alias("delivered_orders_without_payment"),
-        unmatched(key, "deliveries", "items").alias("delivered_orders_without_items"),
-    )
-
+def _missing_or_negative(column: str) -> Column:
+    return F.col(column).isNull() | (F.col(column) < 0)
 
-def _customer_checks(t: Tables) -> DataFrame:
-    key = "customer_id"
-    return key_ledger(key, {"orders": t.orders, "customers": t.customers}).agg(
-        unmatched(key, "orders", "customers").alias("orders_missing_customer")
-    )
 
+def _wide_summary(t: Tables) -> DataFrame:
+    """Every check as a column of one row: a scan per table and one exchange of counts by key.
 
-def _product_checks(t: Tables) -> DataFrame:
-    key = "product_id"
-    return key_ledger(key, {"items": t.order_items, "products": t.products}).agg(
-        unmatched(key, "items", "products").alias("order_items_missing_product")
-    )
+    Items, payments and orders bring their value checks along with their rows.
+    """
+    order, customer = F.col("order_id"), F.col("customer_id")
+    product, category = F.col("product_id"), F.col("product_category_name")
+    one = F.lit(1)
 
+    def when(condition: Column) -> Column:
+        return F.when(condition, 1).otherwise(0)
 
-def _category_checks(t: Tables) -> DataFrame:
-    key = "product_category_name"
-    named = t.products.where(F.col(key).isNotNull())
-    sources = {"products": named, "translations": t.category_translation}
-    return key_ledger(key, sources).agg(
-        unmatched(key, "products", "translations").alias(
-            "products_without_category_translation"
-        )
+    ledger = joint_ledger(
+        {
+            "orders": (
+                t.orders,
+                {
+                    "order": (
+                        order,
+                        {
+                            "orders": one,
+                            "deliveries": when(is_clean_delivery()),
+                            "delivered_early": when(F.col(DELIVERED) < F.col(PURCHASED)),
+                            "estimated_early": when(F.col(ESTIMATED) < F.col(PURCHASED)),
+                        },
+                    ),
+                    "customer": (customer, {"orders": one}),
+                },
+            ),
+            "items": (
+                t.order_items,
+                {
+                    "order": (
+                        order,
+                        {
+                            "items": one,
+                            "bad_price": when(_missing_or_negative("price")),
+                            "bad_freight": when(_missing_or_negative("freight_value")),
+                        },
+                    ),
+                    "product": (product, {"items": one}),
+                },
+            ),
+            "payments": (
+                t.order_payments,
+                {
+                    "order": (
+                        order,
+                        {"payments": one, "bad_payment": when(_missing_or_negative("payment_value"))},
+                    )
+                },
+            ),
+            "reviews": (t.order_reviews, {"order": (order, {"reviews": one})}),
+            "customers": (t.customers, {"customer": (customer, {"customers": one})}),
+            "products": (
+                t.products,
+                {
+                    "product": (product, {"products": one}),
+                    # A product without a category is not looked for among the translations.
+                    "category": (category, {"products": when(category.isNotNull())}),
+                },
+            ),
+            "translations": (
+                t.category_translation,
+                {"category": (category, {"translations": one})},
+            ),
+        }
     )
 
+    def total(count: str) -> Column:
+        return F.coalesce(F.sum(count), F.lit(0))
 
-def _missing_or_negative(column: str) -> Column:
-    return F.count_if(F.col(column).isNull() | (F.col(column) < 0))
-
-
-def _value_checks(t: Tables) -> list[DataFrame]:
-    """Checks on single rows: one scan per table, no exchange of rows."""
-    return [
-        t.order_items.agg(
-            _missing_or_negative("price").alias("order_items_invalid_price"),
-            _missing_or_negative("freight_value").alias("order_items_invalid_freight"),
-        ),
-        t.order_payments.agg(
-            _missing_or_negative("payment_value").alias("payments_invalid_value")
-        ),
-        t.orders.agg(
-            F.count_if(F.col(DELIVERED) < F.col(PURCHASED)).alias("delivered_before_purchase"),
-            F.count_if(F.col(ESTIMATED) < F.col(PURCHASED)).alias("estimated_before_purchase"),
+    return ledger.agg(
+        unmatched_in("customer", "orders", "customers").alias("orders_missing_customer"),
+        unmatched_in("order", "items", "orders").alias("order_items_missing_order"),
+        unmatched_in("product", "items", "products").alias("order_items_missing_product"),
+        unmatched_in("order", "payments", "orders").alias("payments_missing_order"),
+        unmatched_in("order", "reviews", "orders").alias("reviews_missing_order"),
+        total("bad_price").alias("order_items_invalid_price"),
+        total("bad_freight").alias("order_items_invalid_freight"),
+        total("bad_payment").alias("payments_invalid_value"),
+        total("delivered_early").alias("delivered_before_purchase"),
+        total("estimated_early").alias("estimated_before_purchase"),
+        unmatched_in("order", "deliveries", "payments").alias("delivered_orders_without_payment"),
+        unmatched_in("order", "deliveries", "items").alias("delivered_orders_without_items"),
+        unmatched_in("category", "products", "translations").alias(
+            "products_without_category_translation"
         ),
-    ]
+    )
 
 
 def dq_summary(t: Tables) -> DataFrame:
     """Every check with its violation count, sorted by name."""
-    wide = [
-        _order_checks(t),
-        _customer_checks(t),
-        _product_checks(t),
-        _category_checks(t),
-        *_value_checks(t),
-    ]
-    long = [one.unpivot([], one.columns, "check_name", "violation_count") for one in wide]
-    return reduce(DataFrame.unionByName, long).orderBy("check_name")
+    wide = _wide_summary(t)
+    return wide.unpivot([], wide.columns, "check_name", "violation_count").orderBy("check_name")
 
 
 def check_status(name: Column, violations: Column) -> Column:
@@ -138,8 +158,9 @@ class ValidationPolicyError(ValueError):
 
     def __init__(self, rows) -> None:
         self.rows = list(rows)
-        names = [row.check_name for row in self.rows if row.status == "fatal"]
-        super().__init__(f"The gate stays shut for {len(names)} check(s): {', '.join(names)}")
+        fatal = [row for row in self.rows if row.status == "fatal"]
+        found = ", ".join(f"{row.check_name} ({row.violation_count} rows)" for row in fatal)
+        super().__init__(f"The gate stays shut for {len(fatal)} check(s): {found}")
 
 
 def enforce_policy(summary: DataFrame) -> list[tuple[str, int]]:
@@ -213,4 +234,4 @@ def invalid_timestamps(t: Tables) -> DataFrame:
 
 def duplicate_keys(t: Tables) -> DataFrame:
     """Rows beyond the first of each key, per table."""
-    return key_audit(t).select("table_name", "duplicate_keys")
+    return repeated_keys(t)

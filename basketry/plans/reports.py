@@ -13,7 +13,7 @@ from basketry.functions.calendar import (
     MICROS_PER_DAY,
     month_number,
     month_text,
-    settled_round,
+    exact_ratio,
 )
 from basketry.functions.money import amount
 from basketry.operators.cleaning import (
@@ -39,7 +39,7 @@ def monthly_revenue(t: Tables) -> DataFrame:
 
 def payment_method(t: Tables) -> DataFrame:
     return (
-        paid_deliveries(t)
+        paid_deliveries(t, with_methods=True)
         .groupBy("payment_method")
         .agg(
             F.count("*").alias("orders"),
@@ -58,6 +58,12 @@ def delivery_performance(t: Tables) -> DataFrame:
     )
 
 
+def average_days(micros: Column, orders: Column) -> Column:
+    """Elapsed microseconds, a decimal, as average days with two digits."""
+    micros_in_days = orders.cast("decimal(12,0)") * F.lit(MICROS_PER_DAY)
+    return F.round((micros / micros_in_days).cast("decimal(20,9)"), 2).cast("double")
+
+
 def delivery_by_state(t: Tables) -> DataFrame:
     """Average delivery days; elapsed microseconds are added exactly and divided once."""
     took = F.timestamp_diff("MICROSECOND", F.col(PURCHASED), F.col(DELIVERED))
@@ -66,21 +72,40 @@ def delivery_by_state(t: Tables) -> DataFrame:
         .groupBy("customer_id")
         .agg(F.sum(took).cast("decimal(20,0)").alias("micros"), F.count("*").alias("orders"))
     )
-    micros_in_days = F.sum("orders").cast("decimal(12,0)") * F.lit(MICROS_PER_DAY)
-    average = (F.sum("micros") / micros_in_days).cast("decimal(20,9)")
     return (
         by_customer.join(t.customers.select("customer_id", "customer_state"), "customer_id")
         .groupBy("customer_state")
-        .agg(F.round(average, 2).cast("double").alias("average_delivery_days"))
+        .agg(average_days(F.sum("micros"), F.sum("orders")).alias("average_delivery_days"))
         .orderBy(F.desc("average_delivery_days"), "customer_state")
     )
 
 
 def reviews_by_order(reviews: DataFrame) -> DataFrame:
-    """Average score and whether any review was low, per reviewed order of any status."""
+    """Sum and number of scores and whether any was low, per reviewed order of any status."""
     low = F.when(F.col("review_score").isin(1, 2), 1).otherwise(0)
     return reviews.groupBy("order_id").agg(
-        F.avg("review_score").alias("score"), F.max(low).alias("low")
+        F.sum("review_score").alias("points"),
+        F.count("review_score").alias("scores"),
+        F.max(low).alias("low"),
+    )
+
+
+def review_quality(by_state: DataFrame) -> DataFrame:
+    """The report from (customer_state, scores, orders, points, low): a row for each state and
+    number of scores that an order has.
+
+    The average of an order is points / scores. Points of orders with as many scores are added as
+    whole numbers and divided once, as decimals, so that the result does not depend on the order
+    in which rows are added.
+    """
+    mean = F.col("points").cast("decimal(20,0)") / F.nullif("scores", F.lit(0)).cast("decimal(10,0)")
+    scored = F.when(F.col("scores") > 0, F.col("orders")).otherwise(0)
+    total = F.sum(mean.cast("decimal(38,15)"))
+    average = total / F.nullif(F.sum(scored), F.lit(0)).cast("decimal(12,0)")
+    return by_state.groupBy("customer_state").agg(
+        F.sum("orders").alias("reviewed_orders"),
+        F.round(average.cast("decimal(20,12)"), 2).cast("double").alias("average_review_score"),
+        exact_ratio(F.sum("low"), F.sum("orders"), 4).alias("low_score_rate"),
     )
 
 
@@ -88,22 +113,17 @@ def review_quality_by_state(t: Tables) -> DataFrame:
     reviewed = reviews_by_order(t.order_reviews).join(
         clean_deliveries(t).select("order_id", "customer_id"), "order_id"
     )
-    by_customer = reviewed.groupBy("customer_id").agg(
-        F.count("*").alias("orders"),
-        F.sum("score").alias("score_sum"),
-        F.count("score").alias("scored"),
-        F.sum("low").alias("low"),
+    measures = [F.sum(name).alias(name) for name in ("orders", "points", "low")]
+    by_customer = (
+        reviewed.withColumn("orders", F.lit(1)).groupBy("customer_id", "scores").agg(*measures)
     )
-    average = F.sum("score_sum") / F.nullif(F.sum("scored"), F.lit(0))
-    return (
+    by_state = (
         by_customer.join(t.customers.select("customer_id", "customer_state"), "customer_id")
-        .groupBy("customer_state")
-        .agg(
-            F.sum("orders").alias("reviewed_orders"),
-            settled_round(average, 2).alias("average_review_score"),
-            settled_round(F.sum("low") / F.sum("orders"), 4).alias("low_score_rate"),
-        )
-        .orderBy(F.desc("low_score_rate"), F.desc("reviewed_orders"), "customer_state")
+        .groupBy("customer_state", "scores")
+        .agg(*measures)
+    )
+    return review_quality(by_state).orderBy(
+        F.desc("low_score_rate"), F.desc("reviewed_orders"), "customer_state"
     )
 
 

@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from basketry.operators.audit import MALFORMED, key_audit
+from basketry.sources.generations import Generations
 from basketry.sources.model import MODEL, MOMENT, TEXT, WHOLE, TableSpec, Tables
+from basketry.sources.records import whole_records
 
 # Texts that stand for a missing value.
 NULL_TOKENS = (
@@ -83,8 +85,8 @@ def _quotes(text: Column) -> Column:
 def spans_lines(lines: DataFrame) -> bool:
     """Whether any record continues over a line break inside quotes.
 
-    Such a record starts on a line with an odd number of quotes. Without one the extract
-    can be split and read in parallel; with one each file has to be read as a whole.
+    Such a record starts on a line with an odd number of quotes. Without one every line is a
+    record; with one the records have to be found first.
     """
     return not lines.where(_quotes(F.col("value")) % 2 == 1).isEmpty()
 
@@ -97,26 +99,47 @@ def _has_surplus_fields(fields: int) -> Column:
     return F.coalesce(separators >= fields, F.lit(False))
 
 
+_FORMAT = {"escape": '"', "columnNameOfCorruptRecord": _BROKEN_LINE}
+
+
 def read_text_columns(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
-    """An extract with all its columns as text and a flag for rows with surplus fields."""
+    """An extract with all its columns as text and a flag for rows with surplus fields.
+
+    Both ways read a file in parallel splits.
+    """
     reader = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("columnNameOfCorruptRecord", _BROKEN_LINE)
+        spark.read.options(**_FORMAT)
+        .option("header", True)
         # Pruned columns would hide that a line does not fit the header.
         .option("columnPruning", False)
         # Parts whose header names other columns, or in another order, are refused.
         .option("enforceSchema", False)
     )
-    names = reader.csv(path).columns
+    names = reader.option("multiLine", multi_line).csv(path).columns
     schema = StructType([StructField(name, StringType()) for name in (*names, _BROKEN_LINE)])
-    return reader.schema(schema).csv(path).select(
+    if multi_line:
+        rows = _parsed(whole_records(spark, path), names, schema)
+    else:
+        rows = reader.option("multiLine", False).schema(schema).csv(path)
+    return rows.select(
         *[F.col(f"`{name}`") for name in names],
         _has_surplus_fields(len(names)).alias(MALFORMED),
     )
 
 
+def _parsed(records: DataFrame, names: list[str], schema: StructType) -> DataFrame:
+    """Records as rows of text columns, without the header of each file."""
+    types = ", ".join(f"`{field.name}` string" for field in schema)
+    row = F.from_csv("record", types, _FORMAT)
+    header = F.regexp_replace("record", "^\uFEFF", "")
+    plain = ", ".join(f"c{at} string" for at in range(len(names)))
+    heads = records.where("first").select(F.from_csv(header, plain, {"escape": '"'}).alias("head"))
+    for found in heads.distinct().collect():
+        if [name for name in found.head] != list(names):
+            raise ValueError(f"the header of a part is not {','.join(names)}")
+    return records.where("not first").select(row.alias("row")).select("row.*")
+
+
 def _iso(text: Column) -> Column:
     return reduce(lambda value, shape: F.regexp_replace(value, *shape), DATE_SHAPES, text)
 
@@ -204,37 +227,54 @@ def load_tables(
     tables_dir: str,
     multi_line: Collection[str] | None = None,
 ) -> dict[str, int]:
-    """Check all extracts, then replace the stored tables. Returns the row counts.
+    """Write all tables as a new generation, check it, then publish it. Returns the row counts.
 
-    The text is parsed once, into a staging folder beside the tables; the checks read that. No
-    table is replaced unless every check of every table has passed. The audit brings one row
-    per table to the driver.
+    The text is parsed and written once; the checks read what was written. Readers see the new
+    tables all together, after every check of every table has passed, and else go on with the
+    old ones: what was written is removed again. The audit brings one row per table to the driver.
     """
-    staging = f"{tables_dir.rstrip('/')}-staging"
-    # Opens all tables, so that missing columns show before any of them is parsed.
-    for name, df in list(read_extracts(spark, data_dir, multi_line).items()):
-        try:
-            df.write.mode("overwrite").parquet(f"{staging}/{name}")
-        except (PySparkException, Py4JJavaError) as error:
-            if "header" not in str(error).lower():
-                raise
-            raise ValueError(
-                f"{MODEL[name].file_name}: the headers of its parts differ"
-            ) from error
-    staged = stored_tables(spark, staging)
-    audits = {audit.table_name: audit for audit in key_audit(staged).collect()}
-    for name in MODEL:
-        _check_audit(audits[name])
-    for name, df in staged.items():
-        df.drop(MALFORMED).write.mode("overwrite").parquet(f"{tables_dir}/{name}")
-    return {name: audits[name].row_count for name in MODEL}
-
-
-def stored_tables(spark: SparkSession, tables_dir: str) -> Tables:
-    """The tables written by :func:`load_tables`."""
-    return Tables(
-        {
-            name: lambda name=name: spark.read.parquet(f"{tables_dir}/{name}")
-            for name in MODEL
+    generations = Generations(spark, tables_dir)
+    generation = generations.begin()
+    try:
+        # Opens all tables, so that missing columns show before any of them is parsed.
+        for name, df in list(read_extracts(spark, data_dir, multi_line).items()):
+            _written(name, df, generations.location(generation, name))
+        audits = {
+            audit.table_name: audit
+            for audit in key_audit(_generation(generations, generation)).collect()
         }
+        for name in MODEL:
+            _check_audit(audits[name])
+        counts = {name: audits[name].row_count for name in MODEL}
+        generations.publish(generation, counts)
+    except BaseException:
+        generations.abandon(generation)
+        raise
+    return counts
+
+
+def _written(name: str, df: DataFrame, path: str) -> None:
+    try:
+        df.write.parquet(path)
+    except (PySparkException, Py4JJavaError) as error:
+        if "header" not in str(error).lower():
+            raise
+        raise ValueError(f"{MODEL[name].file_name}: the headers of its parts differ") from error
+
+
+def _generation(generations: Generations, generation: str) -> Tables:
+    """The tables of a generation as they were written, with the flag of malformed rows."""
+
+    def opened(name: str) -> DataFrame:
+        return generations.spark.read.parquet(generations.location(generation, name))
+
+    return Tables({name: lambda name=name: opened(name) for name in MODEL})
+
+
+def stored_tables(spark: SparkSession, tables_dir: str, version: int | None = None) -> Tables:
+    """The tables of the last load, or of the one that published a version."""
+    generations = Generations(spark, tables_dir)
+    written = _generation(generations, generations.read(version).generation)
+    return Tables(
+        {name: lambda name=name: getattr(written, name).drop(MALFORMED) for name in MODEL}
     )

@@ -34,7 +34,7 @@ def test_business_report(tables, rows, name):
 @pytest.mark.parametrize("name", EXPECTED)
 def test_business_report_from_stored_deliveries(spark, tables, rows, tmp_path, name):
     path = str(tmp_path / "deliveries")
-    deliveries(tables).write.parquet(path)
+    deliveries(tables, with_methods=True).write.parquet(path)
     stored = tables.with_stored(DELIVERIES, spark.read.parquet(path))
     assert rows(reports.BUSINESS_REPORTS[name](stored)) == EXPECTED[name]
 
