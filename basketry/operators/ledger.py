@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -40,48 +41,76 @@ def key_ledger(
     return union.groupBy(key).agg(*[F.sum(name).alias(name) for name in names])
 
 
-def joint_ledger(
-    entries: Mapping[str, tuple[DataFrame, Mapping[str, tuple[Column, Mapping[str, Column]]]]],
-) -> DataFrame:
-    """Several ledgers at once, each source scanned once: one row per relation and key.
+class Entry(NamedTuple):
+    """What a row adds to a ledger: the key it has there, and counts by name."""
+
+    key: Column
+    counts: Mapping[str, Column]
+
 
-    `entries` names for each source the relations it has a part in: the key of a row there, and the
-    counts that it adds. A source with two keys gives two entries per row, within its scan. Counts
-    of single rows ride along as counts of any of its relations.
+class JointLedger:
+    """Several ledgers at once, each source scanned once.
+
+    `sources` names for each source its rows and the relations they have a part in; a source with two
+    keys gives two entries per row, within its scan. `flaws` are conditions on single rows: a row that
+    meets any gives one entry more, so that they cost nothing where rows are sound. All entries are
+    counted in one exchange, by relation and key; the counts of a relation share the columns with
+    those of the others.
     """
-    counts = sorted(
-        {name for _, parts in entries.values() for _, marks in parts.values() for name in marks}
-    )
 
-    def entry(relation: str, key: Column, marks: Mapping[str, Column]) -> Column:
-        columns = [
-            F.coalesce(marks[name].cast("bigint"), F.lit(0)) if name in marks else F.lit(0)
-            for name in counts
+    FLAWS = "flaws"
+
+    def __init__(
+        self,
+        sources: Mapping[str, tuple[DataFrame, Mapping[str, Entry], Mapping[str, Column]]],
+    ) -> None:
+        self.names: dict[str, list[str]] = {self.FLAWS: []}
+        for _, parts, flaws in sources.values():
+            self.names[self.FLAWS] += [name for name in flaws]
+            for relation, entry in parts.items():
+                known = self.names.setdefault(relation, [])
+                known += [name for name in entry.counts if name not in known]
+        self.width = max(len(names) for names in self.names.values())
+        rows = [
+            source.select(F.inline(self._entries(parts, flaws)))
+            for source, parts, flaws in sources.values()
         ]
+        columns = [F.sum(f"n{at}").alias(f"n{at}") for at in range(self.width)]
+        self.rows = reduce(DataFrame.unionByName, rows).groupBy("relation", "key").agg(*columns)
+
+    def _entry(self, relation: str, key: Column, counts: Mapping[str, Column]) -> Column:
+        placed = {self.names[relation].index(name): count for name, count in counts.items()}
         return F.struct(
             F.lit(relation).alias("relation"),
             key.cast("string").alias("key"),
-            *[column.cast("bigint").alias(name) for column, name in zip(columns, counts)],
+            *[
+                placed.get(at, F.lit(0)).cast("bigint").alias(f"n{at}")
+                for at in range(self.width)
+            ],
         )
 
-    union = reduce(
-        DataFrame.unionByName,
-        [
-            source.select(
-                F.inline(F.array(*[entry(name, *part) for name, part in parts.items()]))
-            )
-            for source, parts in entries.values()
-        ],
-    )
-    return union.groupBy("relation", "key").agg(*[F.sum(name).alias(name) for name in counts])
-
-
-def unmatched_in(relation: str, rows: str, target: str) -> Column:
-    """Rows of a joint ledger whose key is null or not among the target's keys."""
-    missing = F.col("key").isNull() | (F.col(target) == 0)
-    return F.coalesce(
-        F.sum(F.when((F.col("relation") == relation) & missing, F.col(rows))), F.lit(0)
-    )
+    def _entries(self, parts: Mapping[str, Entry], flaws: Mapping[str, Column]) -> Column:
+        entries = [self._entry(name, *entry) for name, entry in parts.items()]
+        if not flaws:
+            return F.array(*entries)
+        marks = {name: F.when(flaw, 1).otherwise(0) for name, flaw in flaws.items()}
+        flawed = reduce(lambda a, b: a | b, [F.coalesce(f, F.lit(False)) for f in flaws.values()])
+        more = self._entry(self.FLAWS, F.lit(""), marks)
+        return F.when(flawed, F.array(*entries, more)).otherwise(F.array(*entries))
+
+    def count(self, relation: str, name: str) -> Column:
+        return F.col(f"n{self.names[relation].index(name)}")
+
+    def unmatched(self, relation: str, rows: str, target: str) -> Column:
+        """Rows whose key is null or not among the target's keys, summed over the ledger."""
+        missing = F.col("key").isNull() | (self.count(relation, target) == 0)
+        of = (F.col("relation") == relation) & missing
+        return F.coalesce(F.sum(F.when(of, self.count(relation, rows))), F.lit(0))
+
+    def flawed(self, name: str) -> Column:
+        """Rows that meet a condition."""
+        of = F.col("relation") == self.FLAWS
+        return F.coalesce(F.sum(F.when(of, self.count(self.FLAWS, name))), F.lit(0))
 
 
 def unmatched(key: str, rows: str, target: str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.operators.audit import repeated_keys
 from basketry.operators.cleaning import DELIVERED, ESTIMATED, PURCHASED, is_clean_delivery
-from basketry.operators.ledger import joint_ledger, key_ledger, unmatched, unmatched_in
+from basketry.operators.ledger import Entry, JointLedger, key_ledger, unmatched
 from basketry.sources.model import MODEL, Tables
 
 # Check names and the two that only warn.
@@ -45,86 +45,69 @@ def _wide_summary(t: Tables) -> DataFrame:
     order, customer = F.col("order_id"), F.col("customer_id")
     product, category = F.col("product_id"), F.col("product_category_name")
     one = F.lit(1)
-
-    def when(condition: Column) -> Column:
-        return F.when(condition, 1).otherwise(0)
-
-    ledger = joint_ledger(
+    clean = F.when(is_clean_delivery(), 1).otherwise(0)
+    # A product without a category is not looked for among the translations.
+    named = F.when(category.isNotNull(), 1).otherwise(0)
+    ledger = JointLedger(
         {
             "orders": (
                 t.orders,
                 {
-                    "order": (
-                        order,
-                        {
-                            "orders": one,
-                            "deliveries": when(is_clean_delivery()),
-                            "delivered_early": when(F.col(DELIVERED) < F.col(PURCHASED)),
-                            "estimated_early": when(F.col(ESTIMATED) < F.col(PURCHASED)),
-                        },
-                    ),
-                    "customer": (customer, {"orders": one}),
+                    "order": Entry(order, {"orders": one, "deliveries": clean}),
+                    "customer": Entry(customer, {"orders": one}),
+                },
+                {
+                    "delivered_before_purchase": F.col(DELIVERED) < F.col(PURCHASED),
+                    "estimated_before_purchase": F.col(ESTIMATED) < F.col(PURCHASED),
                 },
             ),
             "items": (
                 t.order_items,
                 {
-                    "order": (
-                        order,
-                        {
-                            "items": one,
-                            "bad_price": when(_missing_or_negative("price")),
-                            "bad_freight": when(_missing_or_negative("freight_value")),
-                        },
-                    ),
-                    "product": (product, {"items": one}),
+                    "order": Entry(order, {"items": one}),
+                    "product": Entry(product, {"items": one}),
+                },
+                {
+                    "order_items_invalid_price": _missing_or_negative("price"),
+                    "order_items_invalid_freight": _missing_or_negative("freight_value"),
                 },
             ),
             "payments": (
                 t.order_payments,
-                {
-                    "order": (
-                        order,
-                        {"payments": one, "bad_payment": when(_missing_or_negative("payment_value"))},
-                    )
-                },
+                {"order": Entry(order, {"payments": one})},
+                {"payments_invalid_value": _missing_or_negative("payment_value")},
             ),
-            "reviews": (t.order_reviews, {"order": (order, {"reviews": one})}),
-            "customers": (t.customers, {"customer": (customer, {"customers": one})}),
+            "reviews": (t.order_reviews, {"order": Entry(order, {"reviews": one})}, {}),
+            "customers": (t.customers, {"customer": Entry(customer, {"customers": one})}, {}),
             "products": (
                 t.products,
                 {
-                    "product": (product, {"products": one}),
-                    # A product without a category is not looked for among the translations.
-                    "category": (category, {"products": when(category.isNotNull())}),
+                    "product": Entry(product, {"products": one}),
+                    "category": Entry(category, {"products": named}),
                 },
+                {},
             ),
             "translations": (
                 t.category_translation,
-                {"category": (category, {"translations": one})},
+                {"category": Entry(category, {"translations": one})},
+                {},
             ),
         }
     )
-
-    def total(count: str) -> Column:
-        return F.coalesce(F.sum(count), F.lit(0))
-
-    return ledger.agg(
-        unmatched_in("customer", "orders", "customers").alias("orders_missing_customer"),
-        unmatched_in("order", "items", "orders").alias("order_items_missing_order"),
-        unmatched_in("product", "items", "products").alias("order_items_missing_product"),
-        unmatched_in("order", "payments", "orders").alias("payments_missing_order"),
-        unmatched_in("order", "reviews", "orders").alias("reviews_missing_order"),
-        total("bad_price").alias("order_items_invalid_price"),
-        total("bad_freight").alias("order_items_invalid_freight"),
-        total("bad_payment").alias("payments_invalid_value"),
-        total("delivered_early").alias("delivered_before_purchase"),
-        total("estimated_early").alias("estimated_before_purchase"),
-        unmatched_in("order", "deliveries", "payments").alias("delivered_orders_without_payment"),
-        unmatched_in("order", "deliveries", "items").alias("delivered_orders_without_items"),
-        unmatched_in("category", "products", "translations").alias(
-            "products_without_category_translation"
-        ),
+    unmatched_rows = {
+        "orders_missing_customer": ("customer", "orders", "customers"),
+        "order_items_missing_order": ("order", "items", "orders"),
+        "order_items_missing_product": ("product", "items", "products"),
+        "payments_missing_order": ("order", "payments", "orders"),
+        "reviews_missing_order": ("order", "reviews", "orders"),
+        "delivered_orders_without_payment": ("order", "deliveries", "payments"),
+        "delivered_orders_without_items": ("order", "deliveries", "items"),
+        "products_without_category_translation": ("category", "products", "translations"),
+    }
+    flaws = [name for name in CHECKS if name not in unmatched_rows]
+    return ledger.rows.agg(
+        *[ledger.unmatched(*of).alias(name) for name, of in unmatched_rows.items()],
+        *[ledger.flawed(name).alias(name) for name in flaws],
     )
 
 
@@ -159,8 +142,9 @@ class ValidationPolicyError(ValueError):
     def __init__(self, rows) -> None:
         self.rows = list(rows)
         fatal = [row for row in self.rows if row.status == "fatal"]
-        found = ", ".join(f"{row.check_name} ({row.violation_count} rows)" for row in fatal)
-        super().__init__(f"The gate stays shut for {len(fatal)} check(s): {found}")
+        names = ", ".join(row.check_name for row in fatal)
+        found = "; ".join(f"{row.check_name} in {row.violation_count} rows" for row in fatal)
+        super().__init__(f"The gate stays shut for {len(fatal)} check(s): {names} ({found})")
 
 
 def enforce_policy(summary: DataFrame) -> list[tuple[str, int]]:
