@@ -4,11 +4,13 @@ Texts are cut into pieces at sentence marks and line ends, pieces into words. Ph
 length, one pass over the texts for each:
 
 1. Words are counted by themselves.
-2. For longer phrases each task keeps stripes: for each prefix, a counter of the words that follow it.
-   A phrase is counted only where its first and its last words without the other end are frequent, too,
-   since no phrase is more frequent than its parts. What is frequent of the length before is met by a
-   bitmap over hashes, of a fixed size; a phrase that passes by chance is counted and then dropped, none
-   is lost.
+2. A longer phrase is looked at only where its first and its last words without the other end are
+   frequent, too, since no phrase is more frequent than its parts. What is frequent of the length before
+   is met by a bitmap over hashes, of a fixed size. All such phrases are first counted in cells, 2**CELLS
+   of them, and only those are looked at further whose cell has reached the frequency asked for. A phrase
+   that passes by chance is counted and then dropped, none is lost: the fewer cells there are for the
+   text, the more is counted, and the result is the same. Then each task keeps stripes: for each prefix,
+   a counter of the words that follow it.
 3. Stripes meet by their prefix and are merged elementwise. Prefixes with a 1/HOT of all words or more,
    of which there are at most HOT, have their stripes cut into PARTS by the word that follows, so that no
    task gets all of them.
@@ -32,6 +34,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +49,8 @@ GATHERED = 2_000_000
 SEGMENT = 2_000_000
 ROWS = 100_000
 BITS = 27
+CELLS = 24
+CELL_BLOCK = 16
 HOT = 1024
 PARTS = 64
 
@@ -233,11 +238,121 @@ def stripes_of(prefix: np.ndarray, word: np.ndarray, hot: np.ndarray):
 STRIPE = "lang string, prefix long, part int, words array<bigint>, counts array<bigint>"
 
 
-def _stripes(size: int, frequent, bits: int, hot):
+def marked(bitmap: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
+    """Whether the bit at the first bits of each key is set."""
+    spot = keys >> np.uint64(64 - bits)
+    return (bitmap[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def occurrences(batch: pa.RecordBatch, keys: Keys, hasher: Hasher, size: int, bitmap, bits: int):
+    """(prefix, last word, language) of each phrase of `size` words whose parts may be frequent."""
+    for data, offsets, begin in segments(batch.column("text"), size - 1):
+        starts, ends, texts, piece = pieces_of(data, offsets)
+        n = len(starts) - size + 1
+        if n <= 0:
+            continue
+        word, code = keys.words(hasher, data, starts, ends, texts + begin)
+        prefix = word
+        for k in range(1, size - 1):
+            prefix = longer(prefix[:-1], word[k:])
+        seen = marked(bitmap, prefix, bits)
+        at = np.flatnonzero(seen[:n] & seen[1 : n + 1] & (piece[:n] == piece[size - 1 :]))
+        yield prefix[at], word[at + size - 1], code[at]
+
+
+def _kind_of_cell(least: int):
+    """The smallest type that holds `least`, at which counts stop."""
+    return next(t for t in (np.uint8, np.uint16, np.uint32) if least <= np.iinfo(t).max)
+
+
+def _cells(size: int, frequent, bits: int, least: int, cells: int):
+    """Occurrences of a task's phrases by cell, in compressed blocks of 2**CELL_BLOCK cells."""
+
+    def run(batches):
+        hasher, bitmap = Hasher(), frequent.value
+        counted = np.zeros(1 << cells, _kind_of_cell(least))
+        held: list[np.ndarray] = []
+
+        def taken():
+            cell, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            counted[cell] = np.minimum(counted[cell].astype(np.int64) + n, least)
+
+        gathered = 0
+        for batch in batches:
+            for prefix, word, _ in occurrences(batch, Keys(batch), hasher, size, bitmap, bits):
+                held.append((longer(prefix, word) >> np.uint64(64 - cells)).astype(np.uint32))
+                gathered += len(word)
+                if gathered > GATHERED:
+                    taken()
+                    gathered = 0
+        if held:
+            taken()
+        pack = zstandard.ZstdCompressor(level=1).compress
+        width = 1 << min(CELL_BLOCK, cells)
+        rows = [
+            (at // width, pack(counted[at : at + width].tobytes()))
+            for at in range(0, len(counted), width)
+            if counted[at : at + width].any()
+        ]
+        columns = list(zip(*rows)) if rows else [[], []]
+        yield pa.record_batch(
+            [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary())],
+            names=["block", "cells"],
+        )
+
+    return run
+
+
+def _reached(least: int, cells: int):
+    """For each block of cells, a bit for each that reached `least` in all tasks together."""
+
+    def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
+        now, total = None, None
+
+        def taken():
+            bits = np.packbits(total >= least, bitorder="little").tobytes()
+            return pa.record_batch(
+                [pa.array([now], pa.int32()), pa.array([bits], pa.binary())], names=["block", "bits"]
+            )
+
+        for batch in batches:
+            for block, packed in zip(*(batch.column(c).to_pylist() for c in ("block", "cells"))):
+                if block != now:
+                    if now is not None:
+                        yield taken()
+                    now, total = block, np.zeros(1 << min(CELL_BLOCK, cells), np.int64)
+                some = np.frombuffer(unpack(packed), _kind_of_cell(least))
+                np.minimum(total + some, least, out=total)
+        if now is not None:
+            yield taken()
+
+    return run
+
+
+def reached_cells(docs: DataFrame, size: int, frequent, bits: int, least: int, cells: int) -> np.ndarray:
+    """2**cells bits, one for each cell that phrases of `size` words fill to `least`."""
+    rows = (
+        docs.mapInArrow(_cells(size, frequent, bits, least, cells), "block int, cells binary")
+        .repartition("block")
+        .sortWithinPartitions("block")
+        .mapInArrow(_reached(least, cells), "block int, bits binary")
+        .toArrow()
+    )
+    width = max(1, (1 << min(CELL_BLOCK, cells)) // 8)
+    out = np.zeros(max(1, (1 << cells) // 8), np.uint8)
+    for block, some in zip(rows.column("block").to_pylist(), rows.column("bits").to_pylist()):
+        out[width * block : width * (block + 1)] = np.frombuffer(some, np.uint8)
+    return out
+
+
+def _stripes(size: int, frequent, bits: int, reached, cells: int, hot):
     """The stripes of the phrases of `size` words in a task."""
 
     def run(batches):
         hasher, bitmap, hottest = Hasher(), frequent.value, hot.value
+        cell_bits = reached.value
         languages = Languages()
         held: list[tuple] = []
 
@@ -267,19 +382,9 @@ def _stripes(size: int, frequent, bits: int, hot):
         for batch in batches:
             keys = Keys(batch)
             number = languages.numbers(keys.langs)
-            for data, offsets, begin in segments(batch.column("text"), size - 1):
-                starts, ends, texts, piece = pieces_of(data, offsets)
-                n = len(starts) - size + 1
-                if n <= 0:
-                    continue
-                word, code = keys.words(hasher, data, starts, ends, texts + begin)
-                prefix = word
-                for k in range(1, size - 1):
-                    prefix = longer(prefix[:-1], word[k:])
-                spot = prefix >> np.uint64(64 - bits)
-                seen = (bitmap[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1
-                at = np.flatnonzero(seen[:n] & seen[1 : n + 1] & (piece[:n] == piece[size - 1 :]))
-                held.append((prefix[at], word[at + size - 1], number[code[at]]))
+            for prefix, word, code in occurrences(batch, keys, hasher, size, bitmap, bits):
+                at = np.flatnonzero(marked(cell_bits, longer(prefix, word), cells))
+                held.append((prefix[at], word[at], number[code[at]]))
                 gathered += len(at)
                 if gathered > GATHERED:
                     yield from taken()
@@ -366,7 +471,11 @@ def bitmap_of(keys: DataFrame, bits: int) -> np.ndarray:
 
 
 def frequent_phrases(
-    docs: DataFrame, least: int = LEAST, longest: int = LONGEST, bits: int = BITS
+    docs: DataFrame,
+    least: int = LEAST,
+    longest: int = LONGEST,
+    bits: int = BITS,
+    cells: int = CELLS,
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, words, phrase, n) of all phrases up to `longest` words that occur `least` times,
     and (lang, n) of all words.
@@ -393,9 +502,10 @@ def frequent_phrases(
         hot = level.where(F.col("n") * HOT >= everything).select("key").collect()
         hot_keys = np.sort(np.array([row["key"] for row in hot], np.int64).view(np.uint64))
         frequent = context.broadcast(bitmap_of(level, bits))
+        reached = context.broadcast(reached_cells(docs, size, frequent, bits, least, cells))
         merged = stored(
             docs.mapInArrow(
-                _stripes(size, frequent, bits, context.broadcast(hot_keys)), STRIPE
+                _stripes(size, frequent, bits, reached, cells, context.broadcast(hot_keys)), STRIPE
             )
             .repartition("prefix", "part")
             .sortWithinPartitions("prefix", "part")
@@ -427,6 +537,7 @@ def collocations(
     top: int = TOP,
     percent: int = PERCENT,
     bits: int = BITS,
+    cells: int = CELLS,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first `top` phrases of documents
     (text, lang).
@@ -434,7 +545,7 @@ def collocations(
     a, l and r are the frequencies of the phrase and of the two parts of its lowest-scoring cut, n that
     of all words. A phrase goes where a longer one has `percent` hundredths of its frequency.
     """
-    found, totals = frequent_phrases(docs, least, longest, bits)
+    found, totals = frequent_phrases(docs, least, longest, bits, cells)
     candidates = found.where("words > 1").select(
         "lang", "phrase", "words", F.col("n").alias("a"), F.split("phrase", " ").alias("list")
     )

@@ -78,8 +78,15 @@ def test_small_chunks_hot_prefixes_and_full_bitmaps(spark, monkeypatch):
     dice = random.Random(1)
     rows = [(dice.choice(["en", "fr"]), t) for t in texts(dice, 120)]
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    for bits in (15, 3):
-        assert found(phrases.collocations(docs, 3, bits=bits)) == plainly(rows, 3)
+    for bits, cells in ((15, 20), (3, 3), (27, 10)):
+        assert found(phrases.collocations(docs, 3, bits=bits, cells=cells)) == plainly(rows, 3)
+
+
+def test_counts_beyond_a_byte_in_cells(spark):
+    rows = [("en", "new york " * 100)] * 4 + [("en", "old york " * 299)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    for least in (300, 400, 401):
+        assert found(phrases.collocations(docs, least)) == plainly(rows, least)
 
 
 def test_rank_and_subsumption_limits(spark):
