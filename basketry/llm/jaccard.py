@@ -43,6 +43,7 @@ from basketry.llm.hashing import (
     word_hashes,
     words,
 )
+from basketry.llm.memory import trimmed
 from basketry.llm.scratch import stored
 
 SIZE = 5
@@ -50,7 +51,8 @@ CLASS = np.uint64(0xD6E8FEB86659FD93)
 PAIR = np.uint64(0xA0761D6478BD642F)
 ROUNDS = 2
 BLOCK = 1000
-SKETCH = 64  # bytes
+SKETCH = 256  # bytes at most
+SHORT = 64
 LEAST_FREQUENT = 32
 MOST_FREQUENT = 1 << 20
 
@@ -116,57 +118,128 @@ def _possible(batches):
         yield batch.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
 
-def _across(batches):
-    """Pairs of a list with different labels that sizes and parities do not rule out, each once a task."""
-    known: set[tuple[int, int]] = set()
-
-    def pairs(rows):
-        bits = min(len(row["bits"]) for row in rows)
-        table = np.stack([_folded(np.frombuffer(row["bits"], np.uint8), bits) for row in rows])
-        table = table.view(np.uint64) if bits % 8 == 0 else table
-        label, n, doc, block = (
-            np.array([row[c] for row in rows], np.int64) for c in ("label", "n", "doc_id", "block")
-        )
-        # All but the documents of the most common label, against all.
-        names, of, often = np.unique(label, return_inverse=True, return_counts=True)
-        for i in np.flatnonzero(of != often.argmax()).tolist():
-            total = n + n[i]
-            good = (label != label[i]) & (100 * np.minimum(n, n[i]) >= 80 * np.maximum(n, n[i]))
-            if rows[0]["low"] != rows[0]["high"]:
-                good &= block != block[i]
-            at = np.flatnonzero(good)
-            apart = np.bitwise_count(table[at] ^ table[i]).sum(axis=1, dtype=np.int64)
-            at = at[180 * (total[at] - apart) >= 160 * total[at]]
-            for j in doc[at].tolist():
-                yield min(j, int(doc[i])), max(j, int(doc[i]))
-
-    def taken(rows):
-        new = set(pairs(rows)) - known
-        if len(known) < 100_000:
-            known.update(new)
-        a, b = zip(*new) if new else ((), ())
-        return pa.record_batch(
-            [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
+class _Members:
+    """Rows of lists, one list after another, as arrays."""
+
+    def __init__(self, batches: list[pa.RecordBatch]) -> None:
+        rows = pa.Table.from_batches(batches).combine_chunks()
+
+        def of(name: str) -> np.ndarray:
+            return rows.column(name).to_numpy()
+
+        key, low, high = of("key"), of("low"), of("high")
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        self.first = np.flatnonzero(new)
+        self.group = np.cumsum(new)
+        self.one_block = low == high
+        self.block, self.doc, self.label, self.n = (
+            of(name) for name in ("block", "doc_id", "label", "n")
         )
+        data, offsets = buffers(rows.column("bits").combine_chunks())
+        self.size = np.diff(offsets)
+        # For each size of parities, those of all rows with as many or more, folded to it.
+        self.place, self.folded = {}, {}
+        larger: list[np.ndarray] = []
+        at_larger = np.zeros(0, np.int64)
+        for size in sorted(set(self.size.tolist()), reverse=True):
+            at = np.flatnonzero(self.size == size)
+            own = data[offsets[at][:, None] + np.arange(size)]
+            while larger and larger[0].shape[1] > size:
+                half = larger[0].shape[1] // 2
+                larger = [larger[0][:, :half] ^ larger[0][:, half:]]
+            table = np.concatenate([*larger, own])
+            at_larger = np.concatenate([at_larger, at])
+            place = np.full(len(key), -1)
+            place[at_larger] = np.arange(len(at_larger))
+            self.place[size] = place
+            self.folded[size] = table.view(np.uint64) if size % 8 == 0 else table
+            larger = [table]
+
+    def allowed(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether labels, blocks and sizes let two rows of a list be compared."""
+        small = np.minimum(self.n[i], self.n[j])
+        large = np.maximum(self.n[i], self.n[j])
+        apart = self.one_block[i] | (self.block[i] != self.block[j])
+        return (self.label[i] != self.label[j]) & apart & (100 * small >= 80 * large)
+
+    def pairs(self):
+        """Row numbers of pairs that may be compared, some at a time; each list on its own."""
+        sizes = np.diff(np.append(self.first, len(self.group)))
+        for d in range(1, min(SHORT, int(sizes.max()) if len(sizes) else 0)):
+            i = np.flatnonzero(self.group[d:] == self.group[:-d])
+            i = i[sizes[self.group[i] - 1] <= SHORT]
+            good = self.allowed(i, i + d)
+            yield i[good], i[good] + d
+        for at in np.flatnonzero(sizes > SHORT).tolist():
+            rows = np.arange(self.first[at], self.first[at] + sizes[at])
+            # All but the rows of the most common label, against all.
+            _, of, often = np.unique(self.label[rows], return_inverse=True, return_counts=True)
+            common = of == often.argmax()
+            for k in np.flatnonzero(~common).tolist():
+                other = rows[common | (np.arange(len(rows)) > k)]
+                i = np.full(len(other), rows[k])
+                good = self.allowed(i, other)
+                yield i[good], other[good]
+
+    def possible(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The pairs that parities do not rule out."""
+        least = np.minimum(self.size[i], self.size[j])
+        total = self.n[i] + self.n[j]
+        good = np.zeros(len(i), bool)
+        for size in np.unique(least).tolist():
+            some = np.flatnonzero(least == size)
+            table, place = self.folded[size], self.place[size]
+            for a in range(0, len(some), 100_000):
+                at = some[a : a + 100_000]
+                apart = table[place[i[at]]] ^ table[place[j[at]]]
+                differ = np.bitwise_count(apart).sum(axis=1, dtype=np.int64)
+                good[at] = 180 * (total[at] - differ) >= 160 * total[at]
+        return good
+
 
-    waiting, now = [], None
+def _across(batches):
+    """Pairs of a list with different labels that sizes and parities do not rule out."""
+
+    def taken(held):
+        members = _Members(held)
+        found = []
+        for i, j in members.pairs():
+            good = members.possible(i, j)
+            a, b = members.doc[i[good]], members.doc[j[good]]
+            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+        both = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+        return pa.record_batch([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        for row in batch.to_pylist():
-            group = (row["key"], row["low"], row["high"])
-            if group != now:
-                if len(waiting) > 1:
-                    yield taken(waiting)
-                waiting, now = [], group
-            waiting.append(row)
-    if len(waiting) > 1:
-        yield taken(waiting)
+        if not batch.num_rows:
+            continue
+        # The rows of the last list may go on in the next batch.
+        key, low, high = (batch.column(c).to_numpy() for c in ("key", "low", "high"))
+        same = (key == key[-1]) & (low == low[-1]) & (high == high[-1])
+        end = batch.num_rows - int(np.argmin(same[::-1])) if not same.all() else 0
+        if end:
+            yield taken([*held, batch.slice(0, end)])
+            held = [batch.slice(end)]
+        elif held and tuple(held[-1].column(c)[-1].as_py() for c in ("key", "low", "high")) != (
+            key[0],
+            low[0],
+            high[0],
+        ):
+            yield taken(held)
+            held = [batch]
+        else:
+            held.append(batch)
+    if held:
+        yield taken(held)
 
 
 def across(members: DataFrame, facts: DataFrame) -> DataFrame:
     """Pairs (a, b) of documents in a list (key, doc_id, label) that may link over labels.
 
     Long lists are compared block against block, so that a task holds two blocks at most. The
-    parities that go with each row are folded to a fixed size.
+    parities that go with each row are folded to SKETCH bytes at most.
     """
     blocks = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -190,7 +263,7 @@ def across(members: DataFrame, facts: DataFrame) -> DataFrame:
         )
         .repartition(*groups)
         .sortWithinPartitions(*groups)
-        .mapInArrow(_across, "a long, b long")
+        .mapInArrow(trimmed(_across), "a long, b long")
         .distinct()
     )
 
@@ -256,10 +329,10 @@ def _frequent(least: int):
 def frequent_tokens(docs: DataFrame, size: int, bits: int) -> np.ndarray:
     """The most frequent tokens (shortened, ascending), at most MOST_FREQUENT of them."""
     dealt = docs.select("text").mapInArrow(
-        _counted(size, bits), "range int, keys binary, n binary"
+        trimmed(_counted(size, bits)), "range int, keys binary, n binary"
     )
     often = stored(
-        dealing.met(dealt).mapInArrow(_frequent(LEAST_FREQUENT), "token long, n long"), "frequent"
+        dealing.met(dealt).mapInArrow(trimmed(_frequent(LEAST_FREQUENT)), "token long, n long"), "frequent"
     )
     histogram = often.groupBy(F.floor(F.log2("n") * 8).alias("step")).agg(
         F.count("*").alias("tokens"), F.min("n").alias("least")
@@ -414,12 +487,12 @@ def verified(pairs: DataFrame, facts: DataFrame, docs: DataFrame, size: int) ->
         )
         sized = sized.join(own, end)
     sized = sized.where(100 * F.least("a_n", "b_n") >= 80 * F.greatest("a_n", "b_n"))
-    possible = stored(sized.mapInArrow(_possible, "a long, b long").distinct(), "possible")
+    possible = stored(sized.mapInArrow(trimmed(_possible), "a long, b long").distinct(), "possible")
 
     wanted = possible.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     sets = stored(
         docs.join(wanted, "doc_id", "left_semi").mapInArrow(
-            _sets(size), "doc_id long, tokens array<long>"
+            trimmed(_sets(size)), "doc_id long, tokens array<long>"
         ),
         "sets",
     )
@@ -466,7 +539,7 @@ def similar_components(docs: DataFrame, size: int = SIZE) -> DataFrame:
     frequent = spark.sparkContext.broadcast(frequent_tokens(docs, size, bits))
     made = stored(
         docs.mapInArrow(
-            _keys(size, bits, frequent),
+            trimmed(_keys(size, bits, frequent)),
             "range int, keys binary, docs binary, doc_id long, n long, d1 long, d2 long, "
             "bits binary, sketch binary",
         ),
@@ -478,7 +551,7 @@ def similar_components(docs: DataFrame, size: int = SIZE) -> DataFrame:
     )
     lists = stored(
         dealing.met(made.where("range >= 0").select("range", "keys", "docs")).mapInArrow(
-            _lists, "key long, doc_id long"
+            trimmed(_lists), "key long, doc_id long"
         ),
         "lists",
     )
