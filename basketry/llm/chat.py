@@ -1,11 +1,13 @@
 """Roles of the speakers in transcripts, by a hidden Markov model over line features.
 
-A transcript is a sequence of paragraphs. What is seen of a paragraph: the speaker marker at the start
-of its first line, the size of the paragraph, its number of lines, and the mark it ends with. What is
-hidden: who speaks, and whether the paragraph opens a turn or goes on with one. The model is counted
-from transcripts with known roles that are not held out, at most about `most` of them. The most likely
-sequence is found by Viterbi's method, and the paragraphs are rendered as canonical turns: an opening
-paragraph gets its role's header, and markers go.
+A transcript is a sequence of paragraphs; a line that begins with a speaker's marker begins a paragraph,
+too. What is seen of a paragraph: the marker, the size of the paragraph, its number of lines, and the mark
+it ends with. What is hidden: who speaks, and whether the paragraph opens a turn or goes on with one. The
+model is counted from transcripts with known roles that are not held out, at most about `most` of them. A
+marker speaks for opening a turn of its role from the beginning (a prior to which the counts are added),
+since transcripts to learn from may have none. The most likely sequence is found by Viterbi's method, and
+the paragraphs are rendered as canonical turns: an opening paragraph gets its role's header, and a marker
+goes where the paragraph was found to open a turn of the marker's role. Other markers are left as text.
 
 Paragraphs are put in order over all partitions, so that a transcript of any length is spread over
 several. Runs of at most RUN paragraphs are the units: for transcripts of several runs, each run is
@@ -13,7 +15,8 @@ first reduced to the best score from each state before it to each state at its e
 runs follow from these few numbers, and the runs are then decoded each on its own.
 
 Null or blank text is one empty paragraph. Null ids are an id like any other and are never learned
-from; null turns come first; rows with the same id and turn are in order of their text. Unknown (null)
+from; null turns come first; rows with the same id and turn are in order of their text, over all
+partitions. Unknown (null)
 roles are not learned from. Without any example all roles are null. An empty table gives an empty
 result. Other columns are ignored.
 """
@@ -49,14 +52,21 @@ NAMES = {
     for name in names
 }
 MARKERS, SIZES, LINES, ENDS = 4, 16, 8, 4
+# Examples that a role is taken to have with its own marker, and with one of another role or in the
+# midst of a turn.
+OWN_MARKER, OTHER_MARKER = 1.0, 1e-7
 FEATURES = (MARKERS, SIZES, LINES, ENDS)
 BREAK = re.compile(r"\n[ \t]*\n\s*")
 
 
 def paragraphs(text: str | None) -> list[str]:
-    """The paragraphs of a text, at blank lines."""
-    found = [p for p in BREAK.split(text or "") if p.strip()]
-    return found or [""]
+    """The paragraphs of a text: cut at blank lines, and before lines with a marker."""
+    found = []
+    for paragraph in BREAK.split(text or ""):
+        lines = paragraph.split("\n")
+        begins = [0] + [at for at in range(1, len(lines)) if marked(lines[at])[0]]
+        found += ["\n".join(lines[a:b]) for a, b in zip(begins, [*begins[1:], len(lines)])]
+    return [p for p in found if p.strip()] or [""]
 
 
 def marked(paragraph: str) -> tuple[int, str]:
@@ -160,7 +170,16 @@ class Model:
             for state in (i, n + i):
                 self.move[state, :n] = shares[i, :n]
                 self.move[state, n + i] = shares[i, n]
-        self.seen = [np.log((s + 0.5) / (s + 0.5).sum(axis=1, keepdims=True)) for s in seen]
+        # What no example shows is still possible; of markers it is known what they mean.
+        prior = [np.full(s.shape, 0.5) for s in seen]
+        prior[0][:, 1:] = OTHER_MARKER
+        self.kinds = [NAMES.get(role.lower(), 0) for role in roles]
+        for state, kind in enumerate(self.kinds):
+            if kind:
+                prior[0][state, kind] = OWN_MARKER
+        self.seen = [
+            np.log((s + p) / (s + p).sum(axis=1, keepdims=True)) for s, p in zip(seen, prior)
+        ]
 
     def emitted(self, run: list[dict]) -> np.ndarray:
         """(paragraph, state): how likely what is seen of it is."""
@@ -295,10 +314,12 @@ def _rendered(model, kind: pa.DataType):
                     scores = None if entry is None else np.frombuffer(entry)
                     states = known.decoded(known.emitted(items), scores, last)
                 for item, state in zip(items, states):
-                    body = marked(item["text"])[1]
-                    role, opens = None, True
+                    body, role, opens = item["text"], None, True
                     if state is not None:
                         role, opens = known.roles[state % len(known.roles)], state < len(known.roles)
+                        kind_of, rest = marked(body)
+                        if opens and kind_of and known.kinds[state] == kind_of:
+                            body = rest
                     header = f"<|{role}|>\n" if opens and role else ""
                     out.append(
                         (conv, item["turn"], item["paragraph"], role, opens, f"{header}{body}\n")
@@ -313,6 +334,15 @@ def _rendered(model, kind: pa.DataType):
     return run
 
 
+def in_order(turns: DataFrame) -> DataFrame:
+    """Rows (conv_id, turn, text) in this order, over all partitions."""
+    # The start of a text orders rows as the text does, and bounds of ranges stay short.
+    start = F.substring("text", 1, 64)
+    return turns.repartitionByRange("conv_id", "turn", start).sortWithinPartitions(
+        "conv_id", "turn", "text"
+    )
+
+
 def transcripts(turns: DataFrame, most: int = MOST) -> DataFrame:
     """(conv_id, turn, paragraph, role_pred, opens, rendered, held_out) of (conv_id, turn, role, text).
 
@@ -329,11 +359,8 @@ def transcripts(turns: DataFrame, most: int = MOST) -> DataFrame:
     model = learned(turns, most)
     kind = turns.schema["conv_id"].dataType.simpleString()
     arrow = turns.limit(0).select("conv_id").toArrow().schema.field("conv_id").type
-    order = ["conv_id", "turn", "text"]
     runs = stored(
-        turns.select(*order)
-        .repartitionByRange("conv_id", "turn", F.xxhash64("text"))
-        .sortWithinPartitions(*order)
+        in_order(turns.select("conv_id", "turn", "text"))
         .mapInArrow(
             _runs(arrow),
             f"conv_id {kind}, seq long, run array<struct<turn:bigint,paragraph:int,text:string>>",
