@@ -11,12 +11,11 @@ text with normal densities; means, and the variances that all domains share, com
 over the labelled documents. A document's tokens (its words) belong to the domains by these
 probabilities.
 
-Each document gets a rate, zero or more: how often it is expected in the mixture. Of all rates that
-give each domain its target, these are the nearest to one (in squares); where none do, those that
-come nearest to the targets. Such a rate is one less a weighted sum of the document's tokens of each
-domain, or zero, so what is looked for is one weight per domain. Newton steps on these (the problem's
-dual, which is convex) end when the optimality condition holds, each domain within CLOSE; a step
-needs a few sums over all documents. No rates are stored, and the plan does not grow with the steps.
+Each document gets a rate, zero or more: how often it is expected in the mixture. The rates are found by
+least squares: the expected tokens of each domain are to come to its target. From rate one for all,
+projected gradient steps go down along all equations, which are made orthogonal and of length one
+first, and end when the projected gradient vanishes. Where no rate comes to zero these are the rates
+nearest to one that give the targets.
 
 All of it is DataFrame expressions; what comes to the driver has the size of the number of domains.
 
@@ -30,6 +29,8 @@ result.
 from __future__ import annotations
 
 import math
+from collections.abc import Collection
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -40,8 +41,8 @@ from basketry.llm.scratch import stored
 DOMAINS = ("plain", "good", "toxic")
 # Weights of the domains in the mixture.
 TARGETS = {"plain": 0.05, "good": 0.9, "toxic": 0.05}
-CLOSE = 1e-4  # of the least target above zero
-RIDGE = 1e-8  # keeps the weights finite where no rates give the targets
+CLOSE = 1e-5  # of a rate, in the quadratic mean over the documents
+WRITTEN = 5  # steps between two writes of the rates
 LEAST_VARIANCE = 1e-6
 # Words that tell domains apart: how unlikely by chance (twice the log-likelihood ratio), how many.
 TELLING = 20.0
@@ -49,14 +50,20 @@ VOCABULARY = 1 << 16
 BINS = 6
 
 
+ODD = "[^A-Z0-9#*$%&|<>!]+"
+
+
 def features(text: Column) -> dict[str, Column]:
-    """Rates of a text that tell domains apart, each between 0 and about 10."""
+    """Rates of a text that tell domains apart, each between 0 and about 10.
+
+    The column `odd` holds the characters of the text that ODD leaves, the few that are counted.
+    """
     size = F.length(text) + 1
     words = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1
     lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
 
     def share(pattern: str) -> Column:
-        return F.regexp_count(text, F.lit(pattern)) / size
+        return F.regexp_count(F.col("odd"), F.lit(pattern)) / size
 
     return {
         "size": F.log(size),
@@ -90,8 +97,10 @@ def row_of(text: Column) -> Column:
 
 def measured(docs: DataFrame) -> DataFrame:
     """(doc_id, row, copies, tokens, x_<feature>): of each id and text, what is seen of it."""
-    text = F.coalesce("text", F.lit(""))
+    text = F.col("text")
     words = F.size(F.filter(F.split(text, "[ \t-\r]+"), lambda word: word != ""))
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.withColumn("odd", F.regexp_replace("text", ODD, ""))
     facts = docs.select(
         "doc_id",
         row_of(F.col("text")).alias("row"),
@@ -207,48 +216,64 @@ def posteriors(names: list[str], bins: list[str], model: dict[str, dict[str, flo
     return {one: weight / total for one, weight in weights.items()}
 
 
-def _rate(owned: list[Column], weights) -> Column:
-    """The rate of a document that owns so much of each domain's equation."""
-    down = sum((F.lit(float(w)) * a for w, a in zip(weights, owned)), F.lit(0.0))
-    return F.greatest(F.lit(0.0), 1 - down)
+class Fit(NamedTuple):
+    """given: the table with its column `rate`; steps and move: how the descent ended."""
 
+    given: DataFrame
+    steps: int
+    move: float
 
-def _looked_at(given: DataFrame, owned: list[Column], wanted: np.ndarray, weights: np.ndarray):
-    """The dual's value, gradient and second derivatives at these weights."""
-    n, rate = len(owned), _rate(owned, weights)
-    some = F.when(rate > 0, 1.0).otherwise(0.0)
-    upper = [(k, m) for k in range(n) for m in range(k, n)]
-    sums = given.agg(
-        F.sum(rate * rate),
-        *[F.sum(rate * a) for a in owned],
-        *[F.sum(some * owned[k] * owned[m]) for k, m in upper],
-    ).head()
-    value = sums[0] / 2 + wanted @ weights + RIDGE / 2 * weights @ weights
-    slope = wanted + RIDGE * weights - np.array(sums[1 : n + 1], float)
-    curve = RIDGE * np.eye(n)
-    for (k, m), x in zip(upper, sums[n + 1 :]):
-        curve[k, m] += x
-        curve[m, k] = curve[k, m]
-    return value, slope, curve
-
-
-def weights_of(given: DataFrame, owned: list[Column], wanted: np.ndarray, close: np.ndarray):
-    """The weights at which each domain's condition holds but for `close`."""
-    weights = np.zeros(len(owned))
-    value, slope, curve = _looked_at(given, owned, wanted, weights)
-    while (np.abs(slope) > close).any():
-        step, length = -np.linalg.solve(curve, slope), 1.0
-        while True:
-            there = weights + length * step
-            found = _looked_at(given, owned, wanted, there)
-            lower = found[0] <= value + 1e-4 * length * (slope @ step)
-            if lower or np.linalg.norm(found[1]) <= np.linalg.norm(slope) / 2:
-                break
-            length /= 2
-            if length < 1e-9:  # as near as doubles come
-                return weights
-        weights, (value, slope, curve) = there, found
-    return weights
+
+def whitened(owned: list[Column], gram: np.ndarray) -> tuple[np.ndarray, list[Column]]:
+    """A matrix that makes the domains' equations orthogonal and of length one, and them after it.
+
+    Their squares then add up to one at most along any direction, which bounds the step.
+    """
+    values, vectors = np.linalg.eigh(gram)
+    inverse = [1 / math.sqrt(v) if v > 1e-12 * values[-1] else 0.0 for v in values]
+    matrix = vectors @ np.diag(inverse) @ vectors.T
+    mixed_ = [
+        sum((F.lit(float(w)) * a for w, a in zip(row, owned)), F.lit(0.0)) for row in matrix
+    ]
+    return matrix, mixed_
+
+
+def least_squares(given: DataFrame, owned: list[Column], gram: np.ndarray, wanted: np.ndarray) -> Fit:
+    """Rates not below zero whose totals come nearest to `wanted`, by projected gradient steps from one.
+
+    given: rows with `copies`, how many documents each stands for. A step goes down from a point ahead
+    of the rates, in the direction of the last move, as long as the distance shrinks. It needs one
+    aggregate over the table, a few numbers. The descent ends when a step moves the rates by less than
+    CLOSE in the quadratic mean, which is the length of the projected gradient. The rates are written
+    every few steps, so that the plan stays short and a lost executor costs few steps.
+    """
+    matrix, equations = whitened(owned, gram)
+    target = matrix @ wanted
+    given = given.withColumn("rate", F.lit(1.0)).withColumn("ahead", F.lit(1.0))
+    copies, rate, ahead = F.col("copies"), F.col("rate"), F.col("ahead")
+    sums = [F.sum(copies * ahead * a) for a in equations]
+    row = given.agg(F.sum(copies), *sums).head()
+    documents, slope = row[0], np.array(row[1:], float) - target
+    steps = since = 0
+    while True:
+        down = sum((F.lit(float(g)) * a for g, a in zip(slope, equations)), F.lit(0.0))
+        onward = since / (since + 3)
+        given = (
+            given.withColumns({"from": ahead, "before": rate})
+            .withColumn("rate", F.greatest(F.lit(0.0), F.col("from") - down))
+            .withColumn("ahead", rate + F.lit(onward) * (rate - F.col("before")))
+        )
+        moved = F.sum(copies * (rate - F.col("from")) * (rate - F.col("from")))
+        steps += 1
+        if steps % WRITTEN == 0:
+            given = stored(given.drop("before"), "rates")
+        row = given.agg(moved, *sums).head()
+        move = math.sqrt(row[0] / documents)
+        if move <= CLOSE:
+            return Fit(given.drop("from", "before", "ahead"), steps, move)
+        there = np.array(row[1:], float) - target
+        since = since + 1 if there @ there < slope @ slope else 0
+        slope = there
 
 
 def classified(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -290,29 +315,38 @@ def fitted(
     docs: DataFrame,
     labels: DataFrame,
     targets: dict[str, float] = TARGETS,
-) -> tuple[DataFrame, Column]:
-    """What classified() gives, and the rate on it.
+    keep: Collection[str] = (),
+) -> DataFrame:
+    """What classified() gives, with the rate of each.
 
-    The targets are weights of the domains; together they stand for as many tokens as all documents
-    have.
+    The targets are weights of the domains. Together they stand for as many tokens as all documents
+    have; or, if `keep` names domains, for as many that none of these has to be thinned: the most
+    tokens that one of them has for its weight.
     """
     known, learned = classified(docs, labels)
-    given = each_row(known)
-    total = given.agg(F.sum("tokens").alias("n")).head()["n"] or 0
+    copies = F.col("copies")
+    raw = {one: F.col("tokens") * F.col(f"p_{one}") for one in learned}
+    upper = [(k, m) for k, one in enumerate(learned) for m in range(k, len(learned))]
+    row = known.agg(
+        F.sum(copies * F.col("tokens")),
+        *[F.sum(copies * raw[one]) for one in learned],
+        *[F.sum(copies * raw[learned[k]] * raw[learned[m]]) for k, m in upper],
+    ).head()
+    total, size = row[0] or 0, len(learned)
     weight = sum(targets.get(one, 0) for one in learned)
     if not learned or not total or not weight:
-        return known, F.lit(1.0)
-
-    # Each domain's equation is scaled to unit length; a domain without tokens has none.
-    raw = {one: F.col("tokens") * F.col(f"p_{one}") for one in learned}
-    squares = given.agg(*[F.sum(a * a) for a in raw.values()]).head()
-    scale = {one: 1 / math.sqrt(s) for one, s in zip(learned, squares) if s > 0}
-    owned = [F.lit(c) * raw[one] for one, c in scale.items()]
-    shares = {one: targets.get(one, 0) / weight for one in scale}
-    least = min((share for share in shares.values() if share > 0), default=1.0)
-    wanted = np.array([total * shares[one] * c for one, c in scale.items()])
-    close = np.array([CLOSE * total * least * c for c in scale.values()])
-    return known, _rate(owned, weights_of(given, owned, wanted, close))
+        return known.withColumn("rate", F.lit(1.0))
+    own = dict(zip(learned, row[1 : size + 1]))
+    gram = np.zeros((size, size))
+    for (k, m), value in zip(upper, row[size + 1 :]):
+        gram[k, m] = gram[m, k] = value
+    shares = {one: targets.get(one, 0) / weight for one in learned}
+    needed = [own[one] / shares[one] for one in keep if shares.get(one)]
+    wanted = np.array([max(needed, default=total) * shares[one] for one in learned])
+    # A domain without tokens has no equation.
+    some = [k for k, one in enumerate(learned) if gram[k, k] > 0]
+    owned = [raw[learned[k]] for k in some]
+    return least_squares(known, owned, gram[np.ix_(some, some)], wanted[some]).given
 
 
 def each_row(known: DataFrame) -> DataFrame:
@@ -323,10 +357,8 @@ def each_row(known: DataFrame) -> DataFrame:
 
 def rates(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """(doc_id, tokens, p_<domain>, rate) of documents (doc_id, text)."""
-    known, rate = fitted(docs, labels, **options)
-    return each_row(known).select(
-        "doc_id", "tokens", *[f"p_{one}" for one in DOMAINS], rate.alias("rate")
-    )
+    known = fitted(docs, labels, **options)
+    return each_row(known).select("doc_id", "tokens", *[f"p_{one}" for one in DOMAINS], "rate")
 
 
 def mixed(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -335,8 +367,8 @@ def mixed(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     The whole part of the rate is taken as it is; for the rest a number drawn from the id and the text
     decides, the same in every run.
     """
-    known, rate = fitted(docs, labels, **options)
-    rated = known.select(F.struct("doc_id", "row").alias("key"), rate.alias("rate"))
+    known = fitted(docs, labels, **options)
+    rated = known.select(F.struct("doc_id", "row").alias("key"), "rate")
     drawn = F.pmod(F.xxhash64(F.lit("mixture"), "doc.doc_id", "doc.text"), F.lit(1 << 30))
     times = F.floor(F.col("rate") + drawn / float(1 << 30)).cast("int")
     given = docs.select(F.struct(*docs.columns).alias("doc"), row_of(F.col("text")).alias("row"))

@@ -234,3 +234,141 @@ def test_each_rate_of_a_group_rejects(spark):
     assert not any(found[1000 + k]["base_failed"] for k in range(len(odd)))
     assert [name for k, name in enumerate(odd) if found[1000 + k]["kept"]] == []
     assert sum(found[k]["kept"] for k in range(200)) >= 196
+
+
+def nearest_rates(rows, wanted):
+    """The rates nearest to one, by active sets: documents whose rate would be below zero have zero."""
+    import numpy as np
+
+    owned = np.array([[row["tokens"] * row[f"p_{one}"] for row in rows] for one in wanted])
+    target = np.array(list(wanted.values()))
+    free = np.ones(len(rows), bool)
+    while True:
+        some = owned[:, free]
+        weights = np.linalg.lstsq(some @ some.T, some.sum(axis=1) - target, rcond=None)[0]
+        rates = np.where(free, 1 - weights @ owned, 0.0)
+        if (rates >= 0).all():
+            return rates
+        free &= rates > 0
+
+
+def test_rates_equal_the_closed_form(table):
+    targets = {"plain": 0.1, "good": 0.85, "toxic": 0.05}
+    rows = mixing.rates(table("documents"), table("labels"), targets=targets).collect()
+    total = sum(row["tokens"] for row in rows)
+    rates = nearest_rates(rows, {one: share * total for one, share in targets.items()})
+    found = [row["rate"] for row in rows]
+    if min(rates) > 0:
+        assert found == pytest.approx(list(rates), abs=1e-3)
+    else:
+        # Then several rates give the targets; those found are no further than a hundredth from one.
+        far = sum((x - 1) ** 2 for x in found) / sum((x - 1) ** 2 for x in rates)
+        assert far < 1.1
+
+
+def test_domains_to_keep_are_not_thinned(table):
+    for one in ("good", "plain"):
+        rows = mixing.rates(table("documents"), table("labels"), keep=[one]).collect()
+        own = sum(row["tokens"] * row[f"p_{one}"] for row in rows)
+        mixed = {
+            other: sum(row["rate"] * row["tokens"] * row[f"p_{other}"] for row in rows)
+            for other in mixing.TARGETS
+        }
+        assert mixed[one] == pytest.approx(own, rel=0.01)
+        for other, share in mixing.TARGETS.items():
+            assert mixed[other] == pytest.approx(own * share / mixing.TARGETS[one], rel=0.01)
+
+
+def test_targets_out_of_reach_come_as_near_as_they_can(spark):
+    # No document is toxic beyond a half, so that a toxic share of nine tenths cannot be had.
+    rows = [(k, 100, 1, 0.5, 0.0, 0.5) for k in range(20)] + [(99, 50, 3, 1.0, 0.0, 0.0)]
+    names = "doc_id long, tokens long, copies long, p_good double, p_plain double, p_toxic double"
+    given = spark.createDataFrame(rows, names)
+    owned = [F.col("tokens") * F.col(f"p_{one}") for one in ("good", "toxic")]
+    import numpy as np
+
+    a = np.array([[r[1] * r[3] for r in rows], [r[1] * r[5] for r in rows]])
+    weights = np.array([r[2] for r in rows])
+    gram = (a * weights) @ a.T
+    fit = mixing.least_squares(given, owned, gram, np.array([200.0, 1800.0]))
+    found = {row["doc_id"]: row["rate"] for row in fit.given.collect()}
+    assert min(found.values()) == found[99] == 0.0 and fit.move <= mixing.CLOSE
+    # Both totals come from the same documents and are alike then.
+    assert len({round(found[k], 3) for k in range(20)}) == 1
+
+
+def test_repeated_rows_share_their_rate(spark, table):
+    docs = table("documents").select("doc_id", "text")
+    rows = mixing.rates(docs.union(docs.where("doc_id < 5")), table("labels")).collect()
+    by_id = defaultdict(list)
+    for row in rows:
+        by_id[row["doc_id"]].append(row["rate"])
+    assert all(len(by_id[k]) == 2 and len(set(by_id[k])) == 1 for k in range(5))
+
+
+FOUR = "User: how do I sort a list?\nAssistant: use sorted()\nUser: thanks\nAssistant: welcome"
+
+
+def transcript(turns, text):
+    """(role, rendered) of the turns of one text, learned from `turns`, in which it stands unlabelled."""
+    spark = turns.sparkSession
+    one = spark.createDataFrame([(-5, 0, None, text)], "conv_id long, turn long, role string, text string")
+    rows = chat.transcripts(turns.select("conv_id", "turn", "role", "text").union(one))
+    found = rows.where("conv_id = -5").orderBy("paragraph").collect()
+    assert all(row["opens"] for row in found)
+    return [(row["role_pred"], row["rendered"].split("\n", 1)[1].strip()) for row in found]
+
+
+def test_markers_open_turns_of_their_role(table):
+    turns = table("conversations")
+    assert transcript(turns, FOUR) == [
+        ("user", "how do I sort a list?"),
+        ("assistant", "use sorted()"),
+        ("user", "thanks"),
+        ("assistant", "welcome"),
+    ]
+    assert transcript(turns, "User: What is the capital of France?") == [
+        ("user", "What is the capital of France?")
+    ]
+    mixed = "<|system|> Be kind.\n\nHuman: hi\n### Assistant: Hello. Note: this stays."
+    assert transcript(turns, mixed) == [
+        ("system", "Be kind."),
+        ("user", "hi"),
+        ("assistant", "Hello. Note: this stays."),
+    ]
+    # Also where the examples themselves have markers before their texts.
+    told = turns.withColumn("text", F.concat(F.initcap("role"), F.lit(": "), "text"))
+    assert [role for role, _ in transcript(told, FOUR)] == ["user", "assistant"] * 2
+
+
+def test_markers_that_are_none_are_left(table):
+    text = "Remark: nothing here.\nBob: neither."
+    rendered = "".join(body for _, body in transcript(table("conversations"), text))
+    assert rendered == text
+
+
+def test_decoding_is_the_best_of_all_paths(table):
+    import itertools
+
+    import numpy as np
+
+    model = chat.learned(table("conversations"))
+    for text in (FOUR, "Hi.\n\nUser: a?\n\nb", "x\n\ny?\n\nz.\n\nBot: w"):
+        emitted = model.emitted([{"text": p} for p in chat.paragraphs(text)])
+        n = len(model.first)
+        best = max(
+            itertools.product(range(n), repeat=len(emitted)),
+            key=lambda path: model.first[path[0]]
+            + sum(emitted[k][s] for k, s in enumerate(path))
+            + sum(model.move[a, b] for a, b in itertools.pairwise(path)),
+        )
+        assert np.array_equal(model.decoded(emitted, None, None), best)
+
+
+def test_order_of_rows_does_not_depend_on_partitions(spark):
+    rows = [(1, 1, "user", f"text {k * 7919 % 4000}.") for k in range(4000)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    ordered = sorted(row[3] for row in rows)
+    for partitions in (1, 9):
+        dealt = chat.in_order(turns.repartition(partitions).select("conv_id", "turn", "text"))
+        assert [row["text"] for row in dealt.collect()] == ordered
