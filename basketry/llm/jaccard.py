@@ -13,10 +13,12 @@ powers of two; documents near a power have keys for either side.
 
 Documents with a key in common are candidates. In each of a few rounds a document is compared with one
 other, which is the first one in most of its lists and not known to hang together with it. Then, where
-a list still has documents of several components, all are compared across these. So a list of
-thousands of copies costs thousands of comparisons. Before whole sets are compared, a pair must pass two bounds that no link fails: the
-sizes, and the bits in which parities of their tokens differ (each such bit is a token that only one
-of them has).
+a list still has documents of several components, they are compared across these: all of them if they
+are few for the list, else some drawn for each component, again and again with what hangs together by
+then, until all have been compared. Only where hardly any of those drawn link are all of a list
+compared at once. So a list of thousands of copies, near ones too, costs thousands of comparisons.
+Before whole sets are compared, a pair must pass two bounds that no link fails: the sizes, and the
+bits in which parities of their tokens differ (each such bit is a token that only one of them has).
 
 Null text and text without a word have no tokens and link with nothing; texts with fewer words than
 a shingle are one token. Rows with a null id link with nothing. Rows with the same id are one
@@ -51,6 +53,9 @@ CLASS = np.uint64(0xD6E8FEB86659FD93)
 PAIR = np.uint64(0xA0761D6478BD642F)
 ROUNDS = 2
 BLOCK = 1000
+FEW = 8  # pairs for each row of a list that are all compared
+DRAWN = 4  # of more, for each component
+LINKING = 10  # one of so many pairs drawn has to link, or all are compared
 SKETCH = 256  # bytes at most
 SHORT = 64
 LEAST_FREQUENT = 32
@@ -197,20 +202,29 @@ class _Members:
                 good[at] = 180 * (total[at] - differ) >= 160 * total[at]
         return good
 
+    def drawn(self, i: np.ndarray, j: np.ndarray, seed: int) -> np.ndarray:
+        """Which of the pairs are taken: all of a list with few, else DRAWN for each of its labels."""
+        sizes = np.bincount(self.group)
+        many = (np.bincount(self.group[i], minlength=len(sizes)) > FEW * sizes)[self.group[i]]
+        at = np.flatnonzero(many)
+        both = np.stack([self.group, self.label])
+        node = np.unique(both, axis=1, return_inverse=True)[1].reshape(-1)
+        own, other = np.concatenate([i[at], j[at]]), np.concatenate([j[at], i[at]])
+        with np.errstate(over="ignore"):
+            pair = mixed(self.doc[own].view(np.uint64) * PAIR) + self.doc[other].view(np.uint64)
+            order = np.lexsort((mixed(pair * CLASS + np.uint64(seed)), node[own]))
+        node = node[own][order]
+        new = np.ones(len(node), bool)
+        new[1:] = node[1:] != node[:-1]
+        first = np.flatnonzero(new)
+        place = np.arange(len(node)) - np.repeat(first, np.diff(np.append(first, len(node))))
+        good = ~many
+        good[np.concatenate([at, at])[order[place < DRAWN]]] = True
+        return good
 
-def _across(batches):
-    """Pairs of a list with different labels that sizes and parities do not rule out."""
-
-    def taken(held):
-        members = _Members(held)
-        found = []
-        for i, j in members.pairs():
-            good = members.possible(i, j)
-            a, b = members.doc[i[good]], members.doc[j[good]]
-            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
-        both = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
-        return pa.record_batch([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
 
+def _lists_of(batches):
+    """The batches that hold whole lists (key, low, high), some at a time."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
@@ -220,33 +234,71 @@ def _across(batches):
         same = (key == key[-1]) & (low == low[-1]) & (high == high[-1])
         end = batch.num_rows - int(np.argmin(same[::-1])) if not same.all() else 0
         if end:
-            yield taken([*held, batch.slice(0, end)])
+            yield [*held, batch.slice(0, end)]
             held = [batch.slice(end)]
         elif held and tuple(held[-1].column(c)[-1].as_py() for c in ("key", "low", "high")) != (
             key[0],
             low[0],
             high[0],
         ):
-            yield taken(held)
+            yield held
             held = [batch]
         else:
             held.append(batch)
     if held:
-        yield taken(held)
+        yield held
 
 
-def across(members: DataFrame, facts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of documents in a list (key, doc_id, label) that may link over labels.
+def _across(seed: int | None):
+    """Pairs of a list with different labels that sizes and parities do not rule out.
 
-    Long lists are compared block against block, so that a task holds two blocks at most. The
-    parities that go with each row are folded to SKETCH bytes at most.
+    All of them, or with a seed those drawn; `left`: how many of the lists' others are not given.
     """
+
+    def run(batches):
+        for held in _lists_of(batches):
+            members = _Members(held)
+            found = [np.zeros((2, 0), np.int64)]
+            for i, j in members.pairs():
+                good = members.possible(i, j)
+                found.append(np.stack([i[good], j[good]]))
+            i, j = np.concatenate(found, axis=1)
+            left = 0
+            if seed is not None and len(i):
+                good = members.drawn(i, j, seed)
+                left = int(np.count_nonzero(~good))
+                i, j = i[good], j[good]
+            a, b = members.doc[i], members.doc[j]
+            both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            lefts = np.zeros(both.shape[1], np.int64)
+            lefts[:1] = left
+            yield pa.record_batch(
+                [pa.array(both[0]), pa.array(both[1]), pa.array(lefts)], names=["a", "b", "left"]
+            )
+
+    return run
+
+
+def across(members: DataFrame, facts: DataFrame, seed: int | None = None) -> DataFrame:
+    """Pairs (a, b, left) of documents in a list (key, doc_id, label) that may link over labels.
+
+    With a seed only some of those of lists with many; the sum of `left` is how many these have beside
+    them. Of equal sets with one label a list has one row. Long lists are compared block against block,
+    so that a task holds two blocks at most. The parities that go with each row are folded to SKETCH
+    bytes at most.
+    """
+    same = ["n", "d1", "d2"]
+    members = (
+        members.join(facts.select("doc_id", *same), "doc_id")
+        .groupBy("key", "label", *same)
+        .agg(F.min("doc_id").alias("doc_id"))
+    )
     blocks = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     groups = ["key", "low", "high"]
     return (
         members.join(
-            facts.select("doc_id", "n", F.col("sketch").alias("bits")), "doc_id"
+            facts.select("doc_id", *same, F.col("sketch").alias("bits")), ["doc_id", *same]
         )
         .join(blocks, "key")
         .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
@@ -263,8 +315,7 @@ def across(members: DataFrame, facts: DataFrame) -> DataFrame:
         )
         .repartition(*groups)
         .sortWithinPartitions(*groups)
-        .mapInArrow(trimmed(_across), "a long, b long")
-        .distinct()
+        .mapInArrow(trimmed(_across(seed)), "a long, b long, left long")
     )
 
 
@@ -584,9 +635,20 @@ def similar_components(docs: DataFrame, size: int = SIZE) -> DataFrame:
         labels = components(links)
 
     # Lists that still have documents of several components, across these.
-    members = stored(_open(lists, labels).select("key", "doc_id", "label"), "members")
-    crossed = across(members, facts).join(tested, ["a", "b"], "left_anti")
-    labels = components(links.union(verified(crossed, facts, docs, size)))
+    seed: int | None = 0
+    while True:
+        members = stored(_open(lists, labels).select("key", "doc_id", "label"), "members")
+        crossed = stored(across(members, facts, seed), "crossed")
+        pairs = stored(
+            crossed.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "drawn"
+        )
+        found = verified(pairs, facts, docs, size)
+        links = links.union(found)
+        labels = components(links)
+        if not crossed.agg(F.sum("left")).head()[0]:
+            break
+        tested = tested.union(pairs)
+        seed = seed + 1 if LINKING * found.count() >= pairs.count() else None
 
     return (
         facts.groupBy("doc_id")

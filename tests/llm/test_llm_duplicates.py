@@ -80,6 +80,43 @@ def test_similar_components(spark, monkeypatch):
     assert jaccard.similar_components(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("linking", [10, 1])
+def test_near_copies_are_not_compared_all_with_all(spark, monkeypatch, linking):
+    # No rounds before: what is left is compared across components at once. With 1 of 1 that has to
+    # link, all are compared after the first that are drawn.
+    monkeypatch.setattr(jaccard, "ROUNDS", 0)
+    monkeypatch.setattr(jaccard, "LINKING", linking)
+    monkeypatch.setattr(jaccard, "LEAST_FREQUENT", 3)
+    compared = []
+    tested = jaccard.verified
+
+    def verified(pairs, *rest):
+        compared.append(pairs.count())
+        return tested(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "verified", verified)
+    rng = random.Random(9)
+    base, texts = [f"w{k}" for k in range(200)], []
+    for changed in [1] * 120 + [2] * 20 + [3] * 20:
+        own = list(base)
+        for at in rng.sample(range(200), changed):
+            own[at] = f"x{rng.randrange(1000)}"
+        texts.append(" ".join(own))
+    # Copies over several tasks are one row of a list.
+    rows = [*enumerate(texts), *((1000 + k, texts[-1]) for k in range(100))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(40)
+    found = {row["doc_id"]: row["component_id"] for row in jaccard.similar_components(docs).collect()}
+    sets = {k: shingles(text) for k, text in rows}
+    links = [
+        (a, b)
+        for a in sets
+        for b in sets
+        if b < a and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    ]
+    assert found == joined(sets, links)
+    assert sum(compared) < (2_500 if linking > 1 else 5_000)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 77, 500])
 def test_keys_survive_the_loss_of_a_fifth(n):
     rng = np.random.default_rng(n)
