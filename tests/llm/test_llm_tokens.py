@@ -48,6 +48,33 @@ def crc(ids) -> int:
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
+def test_pieces_are_looked_up_once_and_encode_as_in_their_texts(monkeypatch):
+    odd = [
+        "", None, " ", "a", " a", "a  b", "a b ", "\n", "x\n\ny", "x\n y\t z", "a\0b", "a\u00a0b \u00a0c",
+        "word$$$ <>|, it's 'quoted' a.$b don't!'s x'.", "\u00e9t\u00e9. \u00bd. 10$ \u00b2!", "  lead",
+        "tab\there", "<s> </s> <unk> x", "x.,;\n%%% y", "_._ -. (a).", "ab'$s ab'. ab.'s ab&'ll a\nb$$",
+    ]
+    encoder = tokens.Encoder(tokens.default_path())
+    encoder.known.clear()
+    wanted = [encoder.tokenizer.encode(x or "", add_special_tokens=False).ids for x in odd]
+    for texts, ids in [(odd, wanted), *(([x], [y]) for x, y in zip(odd, wanted))]:
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == ids
+    # Runs that cannot be divided are encoded with something between their pieces.
+    encoder.known.clear()
+    encoder.blanks = np.zeros_like(encoder.blanks)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(odd)] == wanted
+
+    lacking = []
+    missing = tokens.Memory.__missing__
+    monkeypatch.setattr(
+        tokens.Memory, "__missing__", lambda self, piece: (lacking.append(piece), missing(self, piece))[1]
+    )
+    encoder = tokens.Encoder(tokens.default_path())
+    encoder.known.clear()
+    encoder.encode(["one two two two", "one two two", "one two"])
+    assert sorted(lacking) == ["\0one", "two"]
+
+
 def test_counts(docs, encoded):
     path = tokens.default_path()
     # Some pre-tokens by the broadcast table, the others by the join.
