@@ -50,20 +50,14 @@ VOCABULARY = 1 << 16
 BINS = 6
 
 
-ODD = "[^A-Z0-9#*$%&|<>!]+"
-
-
 def features(text: Column) -> dict[str, Column]:
-    """Rates of a text that tell domains apart, each between 0 and about 10.
-
-    The column `odd` holds the characters of the text that ODD leaves, the few that are counted.
-    """
+    """Rates of a text that tell domains apart, each between 0 and about 10."""
     size = F.length(text) + 1
     words = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1
     lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
 
     def share(pattern: str) -> Column:
-        return F.regexp_count(F.col("odd"), F.lit(pattern)) / size
+        return F.regexp_count(text, F.lit(pattern)) / size
 
     return {
         "size": F.log(size),
@@ -85,9 +79,8 @@ def domain(quality: Column, toxic: Column) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    """The hashes of a text's distinct words, in lower case and without punctuation marks."""
-    words = F.split(F.lower(text), r"""[ \t-\r.,;:!?"'()]+""")
-    return F.array_distinct(F.transform(words, lambda word: F.xxhash64(word)))
+    """A text's distinct words, in lower case and without punctuation marks."""
+    return F.array_distinct(F.split(F.lower(text), r"""[ \t-\r.,;:!?"'()]+"""))
 
 
 def row_of(text: Column) -> Column:
@@ -100,7 +93,6 @@ def measured(docs: DataFrame) -> DataFrame:
     text = F.col("text")
     words = F.size(F.filter(F.split(text, "[ \t-\r]+"), lambda word: word != ""))
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.withColumn("odd", F.regexp_replace("text", ODD, ""))
     facts = docs.select(
         "doc_id",
         row_of(F.col("text")).alias("row"),
@@ -126,8 +118,8 @@ def vocabulary(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     examples = {one: float(n or 0) for one, n in examples.items()}
     total = sum(examples.values())
     counts = (
-        given.select("domain", F.explode(words_of(F.col("text"))).alias("word"))
-        .groupBy("word")
+        given.select("domain", F.explode(words_of(F.col("text"))).alias("spelt"))
+        .groupBy(F.xxhash64("spelt").alias("word"))
         .agg(F.count("*").alias("n"), *[n.alias(one) for one, n in sizes.items()])
     )
     n, gains, ratios = F.col("n"), [], []
@@ -154,7 +146,8 @@ def evident(facts: DataFrame, docs: DataFrame, words: DataFrame) -> DataFrame:
     """The facts with bin_<domain>: how much the document's words speak for each domain."""
     sums = (
         docs.where("text is not null")
-        .select("doc_id", row_of(F.col("text")).alias("row"), F.explode(words_of(F.col("text"))).alias("word"))
+        .select("doc_id", row_of(F.col("text")).alias("row"), F.explode(words_of(F.col("text"))).alias("spelt"))
+        .withColumn("word", F.xxhash64("spelt"))
         .join(F.broadcast(words), "word")  # at most VOCABULARY rows
         .groupBy("doc_id", "row")
         .agg(*[F.sum(f"for_{one}").alias(f"for_{one}") for one in DOMAINS])

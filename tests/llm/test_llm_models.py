@@ -372,3 +372,16 @@ def test_order_of_rows_does_not_depend_on_partitions(spark):
     for partitions in (1, 9):
         dealt = chat.in_order(turns.repartition(partitions).select("conv_id", "turn", "text"))
         assert [row["text"] for row in dealt.collect()] == ordered
+
+
+def test_characters_are_counted_without_replacing_the_others(spark):
+    texts = ["", "a b", "A1 b#\n<|> C\u00c9\u00e9 99!! \u0663 $5%", "x" * 50, "&*" * 20]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    facts = mixing.measured(docs)
+    assert "regexp_replace" not in facts._jdf.queryExecution().optimizedPlan().toString()
+    found = {row["doc_id"]: row for row in facts.collect()}
+    for k, text in enumerate(texts):
+        for name, pattern in (("symbols", "[#*$%&|<>!]"), ("capitals", "[A-Z]"), ("digits", "[0-9]")):
+            share = len(re.findall(pattern, text)) / (len(text) + 1) * 10
+            assert found[k][f"x_{name}"] == pytest.approx(share)
+        assert found[k]["tokens"] == len(text.split())
