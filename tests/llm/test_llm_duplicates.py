@@ -266,6 +266,15 @@ def test_segments_of_other_keys_are_not_equal(monkeypatch):
     assert not any(np.frombuffer(x, np.int64).size for x in gone)
 
 
+def test_segments_are_dealt_evenly():
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abcdefgh ", k=4_000)) for _ in range(50)]
+    batch = pa.record_batch([pa.array(range(50)), pa.array(texts)], ["doc_id", "text"])
+    (dealt,) = suffixes._dealt(50, 6)([batch])
+    sizes = [len(windows) for windows in dealt.column("windows").to_pylist()]
+    assert len(sizes) == 64 and max(sizes) < 2 * sum(sizes) / 64
+
+
 def test_rows_of_an_id_with_other_texts(spark):
     rng = random.Random(4)
     a, b, c = ("".join(rng.choice("abcdefgh") for _ in range(120)) for _ in range(3))
