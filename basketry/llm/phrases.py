@@ -6,11 +6,13 @@ length, one pass over the texts for each:
 1. Words are counted by themselves.
 2. A longer phrase is looked at only where its first and its last words without the other end are
    frequent, too, since no phrase is more frequent than its parts. What is frequent of the length before
-   is met by a bitmap over hashes, of a fixed size. All such phrases are first counted in cells, 2**CELLS
-   of them, and only those are looked at further whose cell has reached the frequency asked for. A phrase
-   that passes by chance is counted and then dropped, none is lost: the fewer cells there are for the
-   text, the more is counted, and the result is the same. Then each task keeps stripes: for each prefix,
-   a counter of the words that follow it.
+   is met by a bitmap over hashes, of a fixed size. All such phrases are first counted in cells, two tables
+   of 2**CELLS of them, and only those are looked at further whose cells have both reached the frequency
+   asked for. With one table the phrases that pass by chance, since they share the cell of a frequent one,
+   grow with the square of the text; with two they have to meet frequent ones twice. A phrase that passes by
+   chance is counted and then dropped, none is lost: the fewer cells there are for the text, the more is
+   counted, and the result is the same. Then each task keeps stripes: for each prefix, a counter of the
+   words that follow it.
 3. Stripes meet by their prefix and are merged elementwise. Prefixes with a 1/HOT of all words or more,
    of which there are at most HOT, have their stripes cut into PARTS by the word that follows, so that no
    task gets all of them.
@@ -260,17 +262,34 @@ def occurrences(batch: pa.RecordBatch, keys: Keys, hasher: Hasher, size: int, bi
         yield prefix[at], word[at + size - 1], code[at]
 
 
+def cells_of(keys: np.ndarray, cells: int) -> np.ndarray:
+    """The cell of each phrase in the first table, then that of each in the second."""
+    first = keys >> np.uint64(64 - cells)
+    second = (keys >> np.uint64(64 - 2 * cells)) & np.uint64((1 << cells) - 1)
+    return np.concatenate([first, second + np.uint64(1 << cells)])
+
+
+def in_reached_cells(reached: np.ndarray, keys: np.ndarray, cells: int) -> np.ndarray:
+    """Whether both cells of each phrase are among those that were reached."""
+    spot = cells_of(keys, cells)
+    seen = (reached[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 > 0
+    return seen[: len(keys)] & seen[len(keys) :]
+
+
 def _kind_of_cell(least: int):
     """The smallest type that holds `least`, at which counts stop."""
     return next(t for t in (np.uint8, np.uint16, np.uint32) if least <= np.iinfo(t).max)
 
 
 def _cells(size: int, frequent, bits: int, least: int, cells: int):
-    """Occurrences of a task's phrases by cell, in compressed blocks of 2**CELL_BLOCK cells."""
+    """Occurrences of a task's phrases by cell, in compressed blocks of 2**CELL_BLOCK cells.
+
+    A phrase has a cell in each of two tables.
+    """
 
     def run(batches):
         hasher, bitmap = Hasher(), frequent.value
-        counted = np.zeros(1 << cells, _kind_of_cell(least))
+        counted = np.zeros(2 << cells, _kind_of_cell(least))
         held: list[np.ndarray] = []
 
         def taken():
@@ -281,7 +300,7 @@ def _cells(size: int, frequent, bits: int, least: int, cells: int):
         gathered = 0
         for batch in batches:
             for prefix, word, _ in occurrences(batch, Keys(batch), hasher, size, bitmap, bits):
-                held.append((longer(prefix, word) >> np.uint64(64 - cells)).astype(np.uint32))
+                held.append(cells_of(longer(prefix, word), cells).astype(np.uint32))
                 gathered += len(word)
                 if gathered > GATHERED:
                     taken()
@@ -332,7 +351,7 @@ def _reached(least: int, cells: int):
 
 
 def reached_cells(docs: DataFrame, size: int, frequent, bits: int, least: int, cells: int) -> np.ndarray:
-    """2**cells bits, one for each cell that phrases of `size` words fill to `least`."""
+    """2**cells bits for each table, one for each cell that phrases of `size` words fill to `least`."""
     rows = (
         docs.mapInArrow(_cells(size, frequent, bits, least, cells), "block int, cells binary")
         .repartition("block")
@@ -341,7 +360,7 @@ def reached_cells(docs: DataFrame, size: int, frequent, bits: int, least: int, c
         .toArrow()
     )
     width = max(1, (1 << min(CELL_BLOCK, cells)) // 8)
-    out = np.zeros(max(1, (1 << cells) // 8), np.uint8)
+    out = np.zeros(max(2, (2 << cells) // 8), np.uint8)
     for block, some in zip(rows.column("block").to_pylist(), rows.column("bits").to_pylist()):
         out[width * block : width * (block + 1)] = np.frombuffer(some, np.uint8)
     return out
@@ -383,7 +402,7 @@ def _stripes(size: int, frequent, bits: int, reached, cells: int, hot):
             keys = Keys(batch)
             number = languages.numbers(keys.langs)
             for prefix, word, code in occurrences(batch, keys, hasher, size, bitmap, bits):
-                at = np.flatnonzero(marked(cell_bits, longer(prefix, word), cells))
+                at = np.flatnonzero(in_reached_cells(cell_bits, longer(prefix, word), cells))
                 held.append((prefix[at], word[at], number[code[at]]))
                 gathered += len(at)
                 if gathered > GATHERED:
@@ -485,6 +504,7 @@ def frequent_phrases(
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
     context = docs.sparkSession.sparkContext
+    cells = max(cells, 3)  # a table ends with a whole byte of bits
     counted = stored(
         docs.mapInArrow(_words, "lang string, key long, word string, n long")
         .groupBy("lang", "key", "word")

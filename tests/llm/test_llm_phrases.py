@@ -133,3 +133,25 @@ def test_query_matches_on_the_given_table(spark):
     rows = spark.read.parquet(f"{folder}/documents.parquet").select("lang", "text").collect()
     want = plainly([tuple(row) for row in rows], phrases.LEAST)
     assert want and found(queries.QUERIES["op11_phrase_collocations"](spark, folder)) == want
+
+
+def test_rare_phrases_seldom_share_the_cells_of_frequent_ones(spark, monkeypatch):
+    entries = spark.sparkContext.accumulator(0)
+    whole = phrases._stripes
+
+    def stripes(*options):
+        def run(batches):
+            for batch in whole(*options)(batches):
+                entries.add(len(batch.column("words").flatten()))
+                yield batch
+
+        return run
+
+    monkeypatch.setattr(phrases, "_stripes", stripes)
+    dice = random.Random(3)
+    pairs = [f"w{a} w{b}." for a in range(150) for b in range(150)]
+    rows = [("en", " ".join(pairs))]
+    rows += [("en", " ".join(dice.sample(pairs, 200)))] * 25
+    found, _ = phrases.frequent_phrases(spark.createDataFrame(rows, SCHEMA).coalesce(1), 20, cells=12)
+    assert found.where("words = 2").count() == 200
+    assert entries.value < 500
