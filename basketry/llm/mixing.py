@@ -78,6 +78,12 @@ def domain(quality: Column, toxic: Column) -> Column:
     )
 
 
+def word_count(text: Column) -> Column:
+    """How many words a text has between white space, of which some may stand at its ends."""
+    empty = [text == "", *[F.substring(text, at, 1).isin(*" \t\n\v\f\r") for at in (1, -1)]]
+    return F.size(F.split(text, "[ \t-\r]+")) - sum((x.cast("int") for x in empty), F.lit(0))
+
+
 def words_of(text: Column) -> Column:
     """A text's distinct words, in lower case and without punctuation marks."""
     return F.array_distinct(F.split(F.lower(text), r"""[ \t-\r.,;:!?"'()]+"""))
@@ -91,12 +97,11 @@ def row_of(text: Column) -> Column:
 def measured(docs: DataFrame) -> DataFrame:
     """(doc_id, row, copies, tokens, x_<feature>): of each id and text, what is seen of it."""
     text = F.col("text")
-    words = F.size(F.filter(F.split(text, "[ \t-\r]+"), lambda word: word != ""))
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     facts = docs.select(
         "doc_id",
         row_of(F.col("text")).alias("row"),
-        words.cast("long").alias("tokens"),
+        word_count(text).cast("long").alias("tokens"),
         *[x.cast("double").alias(f"x_{name}") for name, x in features(text).items()],
     )
     same = [c for c in facts.columns if c not in ("doc_id", "row")]

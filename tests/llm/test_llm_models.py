@@ -385,3 +385,13 @@ def test_characters_are_counted_without_replacing_the_others(spark):
             share = len(re.findall(pattern, text)) / (len(text) + 1) * 10
             assert found[k][f"x_{name}"] == pytest.approx(share)
         assert found[k]["tokens"] == len(text.split())
+
+
+def test_words_are_counted_between_white_space(spark):
+    rng = random.Random(8)
+    texts = ["", " ", "\n\t", "a", " a", "a ", "\x0ba b\x0c", "é\u00a0b", "a\x1cb", "\r\n.\r\n"]
+    texts += ["".join(rng.choices("ab \n\t\x0b\x0c\ré", k=rng.randrange(30))) for _ in range(300)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    counted = docs.select("text", mixing.word_count(F.col("text")).alias("n")).collect()
+    for text, n in counted:
+        assert n == len(re.findall(r"[^ \t-\r]+", text))
