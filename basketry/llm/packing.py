@@ -23,18 +23,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.llm.memory import trimmed
 from basketry.llm.scratch import stored
-from basketry.llm.tokens import Encoder, small_batches
+from basketry.llm.tokens import REMEMBERED, Encoder, small_batches
 
 BUCKET_ROWS = 100_000
+BATCH_BYTES = 2_000_000
 
 
-def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
+def _pieces(path: str, capacity: int, end_id: int, with_ids: bool, remembered: int = REMEMBERED):
     def run(batches):
-        encoder = Encoder(path)
+        encoder = Encoder(path, remembered)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for some in small_batches(batch):
+            for some in small_batches(batch, BATCH_BYTES):
                 docs, piece, start, length, crc, ids = [], [], [], [], [], []
                 encoded = encoder.encode(some.column("text").to_pylist())
                 for doc, data in zip(some.column("doc_id").to_pylist(), encoded):
@@ -64,7 +66,7 @@ def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
                     names=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids,
                 )
 
-    return run
+    return trimmed(run)
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
@@ -142,21 +144,29 @@ def _placed(places, columns: list[str]):
                 names=[*columns, "sequence_id", "offset"],
             )
 
-    return run
+    return trimmed(run)
 
 
 def pack(
-    docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, with_ids: bool = False
+    docs: DataFrame,
+    path: str,
+    capacity: int = 1024,
+    end_id: int = 2,
+    with_ids: bool = False,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of documents (doc_id, text).
 
-    With `with_ids` also ids: the piece's ids as little-endian unsigned 32-bit integers.
+    With `with_ids` also ids: the piece's ids as little-endian unsigned 32-bit integers. A worker
+    remembers the ids of about `remembered` pieces of text; with fewer it needs less memory and more time.
     """
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
     schema += ", ids binary" * with_ids
-    pieces = stored(docs.mapInArrow(_pieces(path, capacity, end_id, with_ids), schema), "pieces")
+    pieces = stored(
+        docs.mapInArrow(_pieces(path, capacity, end_id, with_ids, remembered), schema), "pieces"
+    )
     columns = pieces.columns
 
     buckets = max(1, pieces.count() // BUCKET_ROWS)

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm.hashing import SPACE, Hasher, buffers, runs_of_texts, shingles, word_hashes, words
+from basketry.llm.memory import trimmed
 from basketry.llm.scratch import stored
 
 SYMBOLS = np.zeros(256, bool)
@@ -97,7 +98,7 @@ def _measured(names: list[str]):
                 names=[*names, *COUNTS, "n_lines"],
             )
 
-    return run
+    return trimmed(run)
 
 
 def measured(docs: DataFrame) -> DataFrame:

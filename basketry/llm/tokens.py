@@ -76,9 +76,10 @@ def parts_of(piece: str) -> list[str] | None:
 
 
 class Encoder:
-    """Ids of texts, with a bounded memory of pieces met before."""
+    """Ids of texts, with a bounded memory of pieces met before: about `remembered` at most."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        self.remembered = remembered
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -124,7 +125,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers; null counts as empty."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.known.clear()
         # Texts as they are cut at blanks: the first piece of each without its blank or after a NUL.
         cut: list[str | None] = []
@@ -164,7 +165,7 @@ class Encoder:
 
     def lengths(self, pieces: list[str]) -> list[int]:
         """How many tokens each piece has."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.known.clear()
         for piece in pieces:
             self.known[piece]

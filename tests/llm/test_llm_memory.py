@@ -1,11 +1,15 @@
 """Memory of tasks beside the JVM."""
 
+import subprocess
+import sys
 import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 
-from basketry.llm import suffixes
+import corpus_pipeline
+from basketry.llm import packing, suffixes, tokens
 
 
 def random_batch(texts: int, size: int) -> pa.RecordBatch:
@@ -30,3 +34,50 @@ def test_segments_are_dealt_in_little_memory():
     tracemalloc.stop()
     assert keys > 250_000  # more than are held at once
     assert peak < 45e6
+
+
+KEPT = """
+import re
+from pathlib import Path
+import numpy as np
+import pyarrow as pa
+from basketry.llm import packing, tokens
+
+def megabytes():
+    held = Path("/proc/self/smaps_rollup").read_text()
+    return sum(map(int, re.findall(r"\\nPss_(?:Anon|Shmem):\\s+(\\d+)", held))) / 1024
+
+def batches():
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz    ", np.uint8)
+    for k in range(12):
+        drawn = np.random.default_rng(k).choice(letters, (1_000, 2_000))
+        texts = [row.tobytes().decode() for row in drawn]
+        yield pa.record_batch([pa.array(range(1_000), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+
+before = megabytes()
+rows = sum(b.num_rows for b in packing._pieces(tokens.default_path(), 1024, 2, False)(batches()))
+print(rows, megabytes() - before)
+"""
+
+
+def test_a_worker_gives_back_what_packing_has_used():
+    folder = Path(__file__).resolve().parents[2]
+    done = subprocess.run(
+        [sys.executable, "-c", KEPT], cwd=folder, capture_output=True, text=True, timeout=300, check=True
+    )
+    rows, kept = done.stdout.split()
+    assert int(rows) >= 12_000
+    assert float(kept) < 190
+
+
+def test_the_pipeline_packs_with_a_smaller_memory(monkeypatch):
+    asked = {}
+    monkeypatch.setattr(packing, "pack", lambda docs, path, **options: asked.update(options))
+    corpus_pipeline.packed_sequences(None, None, "")
+    assert asked["remembered"] < tokens.REMEMBERED
+    encoder = tokens.Encoder(tokens.default_path(), remembered=1_000)
+    encoder.known.clear()
+    words = [f"w{k}" for k in range(30_000)]
+    for at in range(0, len(words), 500):
+        encoder.encode([" ".join(words[at : at + 500])])
+        assert len(encoder.known) <= 3_000
